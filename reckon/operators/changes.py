@@ -55,12 +55,13 @@ def complete_transactions(changes: DataFrame, feed: Feed) -> DataFrame:
     return sized.where(F.coalesce(F.col("_arrived") >= F.col("_declared"), F.lit(True))).select(*by)
 
 
-def contiguous_watermark(numbered: DataFrame, sequence: str, first: int | None = None) -> DataFrame:
+def contiguous_watermark(numbered: DataFrame, sequence: str, first: int | None = None, seen: DataFrame | None = None) -> DataFrame:
     """One row, ``watermark``: the last number of the unbroken run that starts at ``first``.
 
     Each number says that it is there and that its successor is awaited; the least number awaited
     but not there ends the run. Two rows a number and one aggregate: no global sort or window.
-    Without ``first`` the run starts at the least number. No numbers: NULL.
+    Without ``first`` the run starts at the least number, or at that of ``seen``, where incomplete
+    transactions count too. No numbers: NULL.
     """
     n = F.col(sequence).cast("long")
     there = numbered.where(F.col(sequence).isNotNull()).select(
@@ -70,6 +71,9 @@ def contiguous_watermark(numbered: DataFrame, sequence: str, first: int | None =
         there = there.where(F.col("v") >= first)
         start = numbered.sparkSession.range(1).select(F.lit(first).cast("long").alias("v"), F.lit(0).alias("have"))
         there = there.unionByName(start)
+    elif seen is not None:
+        start = seen.agg(F.min(F.col(sequence).cast("long")).alias("v")).where("v IS NOT NULL")
+        there = there.unionByName(start.select("v", F.lit(0).alias("have")))
     missing = there.groupBy("v").agg(F.max("have").alias("have")).where("have = 0")
     return missing.agg((F.min("v") - 1).alias("watermark"))
 
@@ -84,7 +88,7 @@ def committed(changes: DataFrame, feed: Feed, first: int | None = None) -> DataF
     """
     if feed.sequence:
         done = complete_transactions(changes, feed)
-        mark = contiguous_watermark(done, feed.sequence, first)
+        mark = contiguous_watermark(done, feed.sequence, first, changes)
         kept = changes.where(F.col(feed.sequence) <= mark.scalar())
         return kept
     instant = feed.order[0]
@@ -107,7 +111,7 @@ def held(changes: DataFrame, feed: Feed, first: int | None = None) -> DataFrame:
     """The changes of a numbered feed that wait behind a gap or an incomplete transaction."""
     if not feed.sequence:
         raise ValueError("only a numbered feed has gaps")
-    mark = contiguous_watermark(complete_transactions(changes, feed), feed.sequence, first)
+    mark = contiguous_watermark(complete_transactions(changes, feed), feed.sequence, first, changes)
     return changes.where(F.col(feed.sequence).isNull() | (F.col(feed.sequence) > F.coalesce(mark.scalar(), F.lit(-(2**62)))))
 
 

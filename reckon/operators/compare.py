@@ -35,7 +35,7 @@ def findings(left: DataFrame, right: DataFrame, *, keys: Sequence[str], fields:
     cells = _cells(left, keys, fields, types, True).unionByName(_cells(right, keys, fields, types, False))
     counted = cells.groupBy(*ks, "field_no", "value").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     is_row = F.col("field_no") == -1
-    off = (F.col("l") != F.col("r")) if count_rows else ((F.col("l") > 0) != (F.col("r") > 0))
+    off = (F.col("l") > 0) != (F.col("r") > 0)
     per_key = counted.groupBy(*ks).agg(
         F.max(F.when(is_row, F.col("l"))).alias("l"), F.max(F.when(is_row, F.col("r"))).alias("r"),
         *[F.max(F.when((F.col("field_no") == i) & off, 1)).alias(f"off{i}") for i in range(len(fields))],
