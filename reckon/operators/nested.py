@@ -136,24 +136,31 @@ def label(documents: DataFrame, *, key: Sequence[str], text: str, at: Sequence[s
     return rows.mapInArrow(run, f"{fields_ddl}, {NODE}")
 
 
-def contained(parents: DataFrame, children: DataFrame, *, key: Sequence[str], levels: int, carry: Sequence[str]) -> DataFrame:
-    """Link each child to the parent node that contains it ``levels`` levels above; keep childless parents.
+def contained(nodes: DataFrame, *, parent: str, child: str, key: Sequence[str], levels: int, carry: Sequence[str]) -> DataFrame:
+    """Link each child node to the parent node that contains it ``levels`` levels above; keep childless parents.
 
-    Both sides are node rows of the same documents. Nodes of one depth never overlap, so the only
-    candidate is the last parent of that depth that opened before the child: one window over the
-    document's labels instead of a join of all pairs, then the containment test. Returns key,
+    parent, child: SQL conditions on node rows; a node may be both. Nodes of one depth never overlap,
+    so the only candidate is the last parent of that depth that opened before the child: one window
+    over the document's labels instead of a join of all pairs, then the containment test. Returns key,
     ``document``, ``parent_pre``, the parent's ``carry`` columns, ``child_pre``, and the child's
     ``child_position`` and ``child_attributes``, which are NULL for a parent without children.
     Children that no parent contains are left out. Equal rows of a repeated document collapse.
     """
     ids = [*key, "document"]
-    p = parents.select(*ids, F.col("depth").alias("_level"), "pre", "post", F.struct(*carry).alias("_carry"), F.lit(True).alias("_is_parent"), F.lit(None).cast("long").alias("_position"), F.lit(None).cast("string").alias("_attributes"))
-    c = children.select(*ids, (F.col("depth") - levels).alias("_level"), "pre", "post", F.lit(None).cast(p.schema["_carry"].dataType).alias("_carry"), F.lit(False).alias("_is_parent"), F.col("position").alias("_position"), F.col("attributes").alias("_attributes"))
+    roles = F.array_compact(F.array(F.when(F.expr(parent), F.lit(True)), F.when(F.expr(child), F.lit(False))))
+    each = nodes.withColumn("_is_parent", F.explode(roles))
+    own = lambda column: F.when(~F.col("_is_parent"), F.col(column))
+    rows = each.select(
+        *ids, "_is_parent", "pre", "post", F.when(F.col("_is_parent"), F.col("depth")).otherwise(F.col("depth") - levels).alias("_level"),
+        F.when(F.col("_is_parent"), F.struct(*carry)).alias("_carry"), own("position").alias("_position"), own("attributes").alias("_attributes"),
+    )
     along = Window.partitionBy(*ids, "_level").orderBy("pre", F.desc("_is_parent"))
     opened = F.last(F.when(F.col("_is_parent"), F.struct("pre", "post", "_carry")), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = p.unionByName(c).withColumn("_in", opened)
-    inside = rows.where(F.col("_is_parent") | ((F.col("_in.pre") < F.col("pre")) & (F.col("_in.post") > F.col("post"))))
+    placed = rows.withColumn("_in", opened)
+    inside = placed.where(F.col("_is_parent") | ((F.col("_in.pre") < F.col("pre")) & (F.col("_in.post") > F.col("post"))))
     held = F.max((~F.col("_is_parent")).cast("int")).over(Window.partitionBy(*ids, "_level", F.col("_in.pre")))
     linked = inside.withColumn("_held", held).where(~F.col("_is_parent") | (F.col("_held") == 0))
-    child = lambda name: F.when(~F.col("_is_parent"), F.col(name))
-    return linked.select(*ids, F.col("_in.pre").alias("parent_pre"), *[F.col("_in._carry").getField(x).alias(x) for x in carry], child("pre").alias("child_pre"), child("_position").alias("child_position"), child("_attributes").alias("child_attributes")).distinct()
+    return linked.select(
+        *ids, F.col("_in.pre").alias("parent_pre"), *[F.col("_in._carry").getField(x).alias(x) for x in carry],
+        own("pre").alias("child_pre"), F.col("_position").alias("child_position"), F.col("_attributes").alias("child_attributes"),
+    ).distinct()

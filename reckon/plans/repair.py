@@ -51,11 +51,8 @@ def _nodes(spark: SparkSession, sf: str, require: tuple[str, ...] = ("balance_tr
 
 
 def _movements_with_fees(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = _nodes(spark, sf)
-    own = nodes.withColumn("movement", F.get_json_object("attributes", "$.id"))
-    movements = own.where("object_type = 'balance_transaction'")
-    fees = nodes.where("field = 'fee_details' AND position IS NOT NULL")
-    return nested.contained(movements, fees, key=["event_id"], levels=2, carry=["movement"])
+    nodes = _nodes(spark, sf).withColumn("movement", F.get_json_object("attributes", "$.id"))
+    return nested.contained(nodes, parent="object_type = 'balance_transaction'", child="field = 'fee_details' AND position IS NOT NULL", key=["event_id"], levels=2, carry=["movement"])
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
