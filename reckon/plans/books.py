@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reckon.functions import money
 from reckon.operators import checks, close, entities, events, ledger, recon, upsert
+from reckon.operators.scale import shared_folder
+from reckon.plans import report
 from reckon.schemas import ACCOUNTS, CATEGORIES, LIST_COLUMNS
+from reckon.sources import landing
 from reckon.sources.tables import table
+from reckon.streaming import feeds
 
 T = table
 
@@ -234,6 +240,27 @@ def list_column_checks(spark: SparkSession, sf: str) -> DataFrame:
     return checks.columns(_list(spark, sf), not_null=["balance_transaction_id", "reporting_category", "net", "currency"], unique_columns=["balance_transaction_id"], accepted={"reporting_category": CATEGORIES})
 
 
+def measurement_report(spark: SparkSession, sf: str) -> DataFrame:
+    """All measurements over the domain tables."""
+    silver, listed, log = _silver(spark, sf), _list(spark, sf), T(spark, sf, "daily_close_log")
+    frames = {
+        "bronze": _bronze(spark, sf), "events": silver, "charges": entities.charges(silver), "refunds": entities.refunds(silver), "disputes": entities.disputes(silver),
+        "expanded": _expanded(spark, sf), "list": listed, "reported": T(spark, sf, "reported_balance"), "postings": _posted(spark, sf), "daily_close": T(spark, sf, "daily_close"),
+        "reconciliation": _weighed(spark, sf), "reconciliation_items": reconciliation_items(spark, sf), "coverage_gaps": coverage_gaps(spark, sf),
+        "restatements": close.restatements(log, listed), "close_log": log,
+    }
+    return report.measurements(frames)
+
+
+def streaming_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """The deliveries streamed into a replay-safe log, and the event table as a function of that log."""
+    cols = ["event_id", "event_type", "created", "livemode", *events.COORDINATE, "kafka_timestamp"]
+    root = f"{shared_folder(spark)}/reckon-{uuid.uuid4().hex}"
+    stream = landing.table_stream(spark, f"{sf}/bronze_events.parquet", _bronze(spark, sf).schema).select(*cols)
+    feeds.log_batches(stream, f"{root}/log", f"{root}/offsets").awaitTermination()
+    return feeds.collapsed_log(spark, f"{root}/log")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -242,6 +269,6 @@ QUERIES = {
         cross_check_agreement, disputes_after_their_charge, event_type_counts, distinct_events, category_totals, date_checksum, latest_reported,
         movement_list_refresh, reported_upsert, half_up_settlement, entries_balance_check, every_movement_posted_check, available_explained_check,
         unexplained_difference_check, same_days_check, close_uniqueness_check, one_source_check, flow_conservation_check, restatement_explained_check,
-        list_complete_check, stream_complete_check, posting_column_checks, list_column_checks,
+        list_complete_check, stream_complete_check, posting_column_checks, list_column_checks, measurement_report, streaming_dedup,
     )
 }

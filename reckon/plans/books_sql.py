@@ -226,3 +226,21 @@ FROM n FULL JOIN ({_TRIAL}) b ON b.account = n.account AND b.currency = n.curren
         + [_accepted("balance_transaction_list", "reporting_category", CATEGORIES), _unique("balance_transaction_list", "balance_transaction_id")],
     ),
 }
+
+#: Measure, table or query it reads, aggregate.
+_MEASURES = [
+    ("bronze_deliveries", "bronze_events", "count(*)"), ("bronze_events", "bronze_events", "count(DISTINCT event_id)"), ("silver_events", "silver_events", "count(*)"),
+    ("silver_deliveries", "silver_events", "sum(deliveries)"), ("silver_charges", "charges", "count(*)"), ("silver_refunds", "refunds", "count(*)"), ("silver_disputes", "disputes", "count(*)"),
+    ("silver_expanded_transactions", "expanded_movements", "count(*)"), ("list_transactions", "balance_transaction_list", "count(*)"), ("reported_days", "reported_balance", "count(DISTINCT as_of_date)"),
+    ("charges_created_checksum", "charges", "sum(epoch_us(created) // 1000000)"), ("gold_postings", "ledger_postings", "count(*)"), ("gold_entries", "ledger_postings", "count(DISTINCT entry_id)"),
+    ("gold_trial_balance", "ledger_postings", "sum(amount)"), ("gold_available", "ledger_postings", "sum(amount) FILTER (account = 'asset:balance_available')"),
+    ("gold_close_rows", "daily_close", "count(*)"), ("gold_reconciliation_breaks", "reconciliation", "count(*) FILTER (unexplained_difference <> 0)"),
+    ("gold_reconciliation_items", "reconciliation_items", "count(*)"), ("gold_coverage_gaps", "coverage_gaps", "count(*)"), ("gold_restatements", "restatements", "count(*)"),
+    ("gold_closes", "daily_close_log", "count(DISTINCT closed_at)"),
+]
+#: Tables whose name a query has as well: the measurements read the tables.
+_TABLES = {"ledger_postings", "daily_close"}
+SQL["measurement_report"] = " UNION ALL ".join(
+    f"SELECT '{m}' AS measure, CAST(coalesce((SELECT {a} FROM {f'({SQL[t]})' if t in SQL and t not in _TABLES else t}), 0) AS BIGINT) AS value" for m, t, a in _MEASURES
+)
+SQL["streaming_dedup"] = SQL["dedup_collapse"]

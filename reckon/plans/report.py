@@ -42,17 +42,29 @@ MEASURES: list[tuple[str, str, str]] = [
 ]
 
 
-def measure(frames: Frames) -> dict[str, int | None]:
-    """Every measurement, NULL where its table doesn't exist; one pass over each table."""
-    out: dict[str, int | None] = dict.fromkeys(name for name, _, _ in MEASURES)
+def measurements(frames: Frames) -> DataFrame:
+    """(measure, value) of every measurement, NULL where its table doesn't exist; one pass over each table."""
+    parts, absent = [], []
     for table in dict.fromkeys(t for _, t, _ in MEASURES):
-        if table in frames:
-            own = [(name, a) for name, t, a in MEASURES if t == table]
-            row = frames[table].agg(*[F.expr(a).cast("long").alias(name) for name, a in own]).first()
-            out |= {name: row[name] for name, _ in own}
+        own = [(name, a) for name, t, a in MEASURES if t == table]
+        if table not in frames:
+            absent += [name for name, _ in own]
+            continue
+        one = frames[table].agg(*[F.expr(a).cast("long").alias(name) for name, a in own])
+        parts.append(one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("measure"), F.col(name).alias("value")) for name, _ in own]))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if absent:
+        out = out.unionByName(out.sparkSession.createDataFrame([(name, None) for name in absent], "measure string, value long"))
     return out
 
 
+def measure(frames: Frames) -> dict[str, int | None]:
+    """The measurements by name."""
+    return {r["measure"]: r["value"] for r in measurements(frames).collect()}
+
+
 #: Exported documents: table, fields, order. Fixed values.
 EXPORTS: dict[str, tuple[str, list[str], list[str]]] = {
     "accounts": ("balances", ["account", "currency", "balance", "postings"], ["currency", "account"]),

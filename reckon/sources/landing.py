@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from reckon.operators.events import partition_key
 
@@ -18,9 +19,13 @@ def broker_stream(spark: SparkSession, servers: str, topic: str, starting: str =
     return source.option("startingOffsets", starting).option("maxOffsetsPerTrigger", most).option("failOnDataLoss", "true").load()
 
 
-def table_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int = 10) -> DataFrame:
-    """The appends of a parquet directory, so many files a micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def table_stream(spark: SparkSession, path: str, schema: str | StructType, files_per_batch: int = 10) -> DataFrame:
+    """The appends of a parquet directory, so many files a micro-batch; a single file is a table of one."""
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file).isFile():
+        return source.option("pathGlobFilter", file.getName()).parquet(str(file.getParent()))
+    return source.parquet(path)
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
