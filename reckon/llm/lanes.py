@@ -73,17 +73,18 @@ def one_round(rows: DataFrame, *, group: str, hashed: list[str], first: list[str
     return placed.mapInArrow(run, schema)
 
 
-def reduce_in_rounds(rows: DataFrame, *, group: str, hashed: list[str], per_lane: int, fan_in: int, step: Step, schema: str, columns: list[str], first: tuple[str, ...] = (), seed: int = 17) -> DataFrame:
+def reduce_in_rounds(rows: DataFrame, *, group: str, hashed: list[str], per_lane: int, fan_in: int, step: Step, schema: str, columns: list[str], first: tuple[str, ...] = (), seed: int = 17, least_rounds: int = 1) -> DataFrame:
     """All rows that rounds of ``step`` settle; ``schema`` must have a boolean column ``open``.
 
     ``columns``: what an open row takes into the next round. ``first``: columns whose greatest values a
     lane takes first, before the order of hashes. Each round has at most 1 / ``fan_in`` of
-    the lanes of the round before, however many rows stay open.
+    the lanes of the round before, however many rows stay open. ``least_rounds``: rounds that are run
+    even where one lane takes all rows from the start.
     """
     count = rows.count()
     lanes, round_no, settled, current = lanes_for(count, per_lane), 0, None, rows
     while True:
-        last = lanes == 1
+        last = lanes == 1 and round_no + 1 >= least_rounds
         done = materialize(one_round(current, group=group, hashed=hashed, first=list(first), lanes=lanes, round_no=round_no, step=step, schema=schema, last=last, seed=seed + round_no))
         part = done.where("NOT open").drop("open")
         settled = part if settled is None else settled.unionByName(part)

@@ -79,7 +79,8 @@ def pack(items: DataFrame, kinds: DataFrame, *, id: str, size: str, kind: str, c
     In each lane a bounded number of windows is open. An item goes to the open window that it fills
     best; if none takes it and no more may open, the fullest is emitted. Windows still open at the
     end of a lane are leftovers: their items go round again in fewer lanes, and the last lane packs
-    them by best fit with the largest first. Full pieces are containers already. Repeated rows are
+    them by best fit with the largest first. The first round is online at every size, also in a single
+    lane; only leftovers of an earlier round are sorted. Full pieces are containers already. Repeated rows are
     separate items; empty tables give no containers.
     """
     all_pieces = pieces(items, kinds, id=id, size=size, kind=kind, capacity=capacity)
@@ -102,7 +103,7 @@ def pack(items: DataFrame, kinds: DataFrame, *, id: str, size: str, kind: str, c
                     yield (*x, name, not last)
 
     schema = f"kind string, capacity long, id {id_type}, piece long, start long, size long, container_id string, open boolean"
-    packed = reduce_in_rounds(all_pieces.where("size < capacity"), group="kind", hashed=["kind", "id", "piece"], per_lane=per_lane, fan_in=8, step=step, schema=schema, columns=columns)
+    packed = reduce_in_rounds(all_pieces.where("size < capacity"), group="kind", hashed=["kind", "id", "piece"], per_lane=per_lane, fan_in=8, step=step, schema=schema, columns=columns, least_rounds=2)
     # Rows that repeat an item share its id and piece, so a full piece's container needs a number of its own.
     own = full.withColumn("container_id", F.concat_ws("-", "kind", F.lit("full"), F.hex(F.monotonically_increasing_id())))
     return own.unionByName(packed).select(F.col("kind").alias("container_kind"), "container_id", F.col("id").alias(id), "piece", "start", "size")

@@ -64,6 +64,16 @@ def test_best_fit_and_emitting_the_fullest():
     assert sorted(w.rest()) == [("w-2", [(5,)]), ("w-3", [(8,)])]
 
 
+def test_a_single_lane_is_packed_online_first(spark):
+    rng = random.Random(3)
+    items = [(f"d{i}", rng.randint(1, 70)) for i in range(300)]
+    rows = run(spark, items, [("a", 100)], windows=4)
+    content = check(rows, items, [("a", 100)])
+    rounds = [c.split("-")[1] for _, c in content]
+    # At most the open windows are left over; sorted, their items fill about as many containers.
+    assert rounds.count("0") > rounds.count("1") > 0 and rounds.count("1") <= 5
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [("a", 10)]) == []
     assert run(spark, [("d", 3)], []) == []
