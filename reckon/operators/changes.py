@@ -4,9 +4,10 @@ A feed is a table of changes, each carrying a whole state. Changes commit in tra
 whole transactions become visible, in commit order, up to the *committed watermark*:
 
 1. repeated deliveries of a change collapse (same key, same position in the commit order);
-2. a transaction is complete once as many different changes of it arrived as it declares;
-3. where transactions are numbered, the watermark stops before the first number that is missing or
-   incomplete: everything behind that gap is held, not applied;
+2. a transaction is complete once as many different changes of it arrived as it declares, in a
+   column of its changes or in a log of commits kept apart from the feed;
+3. transactions are numbered, by the feed or by the order of their commit instants, and the watermark
+   stops before the first number that is missing or incomplete: everything behind is held, not applied;
 4. keys don't conflict with one another, so each key's changes reduce in parallel to the last one
    at or below the watermark. The reduction is an aggregate with map-side partials: a key with a
    third of all changes costs one row per task in the shuffle.
@@ -17,9 +18,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reckon.operators.scale import materialize
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -41,21 +44,57 @@ class Feed:
     sequence: str | None = None
     closed: bool = True
 
+    @property
+    def by(self) -> list[str]:
+        return list(self.transaction) or list(self.order[:1])
+
 
-def complete_transactions(changes: DataFrame, feed: Feed) -> DataFrame:
-    """(transaction columns, sequence) of every transaction all of whose declared changes arrived.
+def transactions(changes: DataFrame, feed: Feed, log: DataFrame | None = None) -> DataFrame:
+    """(transaction columns, sequence, _at, _declared, _arrived) of every transaction in the feed or its log.
 
-    Repeated deliveries count once. A transaction whose declared size is NULL counts as complete.
+    _at: its first instant. log: a table of committed changes, with the transaction columns and the
+    order columns, that says what each transaction holds: its different changes there are the
+    declared size. Both tables go through one aggregate, so a commit that never reached the feed is
+    seen as well. Repeated deliveries count once. A size that nobody declares is NULL.
     """
-    by = list(feed.transaction) + ([feed.sequence] if feed.sequence else [])
-    once = changes.groupBy(*by, *[c for c in (*feed.key, *feed.order) if c not in by]).agg(
-        (F.max(feed.declared) if feed.declared else F.lit(None).cast("long")).alias("_declared")
-    )
-    sized = once.groupBy(*by).agg(F.count(F.lit(1)).alias("_arrived"), F.max("_declared").alias("_declared"))
-    return sized.where(F.coalesce(F.col("_arrived") >= F.col("_declared"), F.lit(True))).select(*by)
+    by, at, own = feed.by, feed.order[0], [feed.sequence] if feed.sequence else []
+    told_by = list(feed.order[-1:]) if log is not None else [c for c in dict.fromkeys([*feed.key, *feed.order]) if c not in (*by, *own)]
+
+    def named(df: DataFrame, size: Column, logged: bool) -> DataFrame:
+        return df.select(*by, *own, F.col(at).alias("_at"), F.struct(F.lit(0).alias("_"), *told_by).alias("_id"), F.lit(logged).alias("_log"), size.cast("long").alias("_size"))
+
+    rows = named(changes, F.col(feed.declared) if feed.declared else F.lit(None), False)
+    if log is not None:
+        rows = rows.unionByName(named(log, F.lit(None), True))
+    once = rows.groupBy(*by, *own, "_id").agg(F.min("_at").alias("_at"), F.max((~F.col("_log")).cast("long")).alias("_here"), F.max(F.col("_log").cast("long")).alias("_logged"), F.max("_size").alias("_size"))
+    logged = F.nullif(F.sum("_logged"), F.lit(0))
+    return once.groupBy(*by, *own).agg(F.min("_at").alias("_at"), F.greatest(F.max("_size"), logged).alias("_declared"), F.sum("_here").alias("_arrived"))
+
+
+#: Whether all of a transaction's changes arrived; without a declared size it counts as complete.
+COMPLETE = "coalesce(_arrived >= _declared, _arrived > 0)"
+
 
+def complete_transactions(changes: DataFrame, feed: Feed, log: DataFrame | None = None) -> DataFrame:
+    """The rows of ``transactions`` all of whose declared changes arrived."""
+    return transactions(changes, feed, log).where(COMPLETE)
 
-def contiguous_watermark(numbered: DataFrame, sequence: str, first: int | None = None, seen: DataFrame | None = None) -> DataFrame:
+
+def numbered(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Rows that differ in ``column``, each with its place in their order as ``name``, from 1; NULL comes first.
+
+    Rows are range-partitioned and written; each partition's count gives the next ones their offset,
+    and rows are numbered within their partition. There is no window over all rows.
+    """
+    parts = materialize(rows.repartitionByRange(F.col(column).asc_nulls_first()).withColumn("_part", F.spark_partition_id()))
+    # One row a partition: as few as spark.sql.shuffle.partitions.
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("_part", F.expr("sum(n) OVER (ORDER BY _part) - n").alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(F.col(column).asc_nulls_first()))
+    return parts.withColumn("_n", within).join(F.broadcast(before), "_part").select(*rows.columns, (F.col("_n") + F.col("_before")).alias(name))
+
+
+def contiguous_watermark(there: DataFrame, sequence: str, first: int | None = None, seen: DataFrame | None = None) -> DataFrame:
     """One row, ``watermark``: the last number of the unbroken run that starts at ``first``.
 
     Each number says that it is there and that its successor is awaited; the least number awaited
@@ -64,55 +103,72 @@ def contiguous_watermark(numbered: DataFrame, sequence: str, first: int | None =
     transactions count too. No numbers: NULL.
     """
     n = F.col(sequence).cast("long")
-    there = numbered.where(F.col(sequence).isNotNull()).select(
+    marks = there.where(F.col(sequence).isNotNull()).select(
         F.explode(F.array(F.struct(n.alias("v"), F.lit(1).alias("have")), F.struct((n + 1).alias("v"), F.lit(0).alias("have")))).alias("x")
     ).select("x.*")
     if first is not None:
-        there = there.where(F.col("v") >= first)
-        start = numbered.sparkSession.range(1).select(F.lit(first).cast("long").alias("v"), F.lit(0).alias("have"))
-        there = there.unionByName(start)
+        marks = marks.where(F.col("v") >= first)
+        start = there.sparkSession.range(1).select(F.lit(first).cast("long").alias("v"), F.lit(0).alias("have"))
+        marks = marks.unionByName(start)
     elif seen is not None:
         start = seen.agg(F.min(F.col(sequence).cast("long")).alias("v")).where("v IS NOT NULL")
-        there = there.unionByName(start.select("v", F.lit(0).alias("have")))
-    missing = there.groupBy("v").agg(F.max("have").alias("have")).where("have = 0")
+        marks = marks.unionByName(start.select("v", F.lit(0).alias("have")))
+    missing = marks.groupBy("v").agg(F.max("have").alias("have")).where("have = 0")
     return missing.agg((F.min("v") - 1).alias("watermark"))
 
 
-def committed(changes: DataFrame, feed: Feed, first: int | None = None) -> DataFrame:
-    """The changes that are committed: of complete transactions at or below the watermark.
+def instants(changes: DataFrame, feed: Feed, log: DataFrame | None = None) -> DataFrame:
+    """(_at, _number, _declared, _arrived, _whole) of every commit instant of a feed without numbers, written.
 
-    With a sequence, the watermark is the end of its unbroken run of complete transactions. Without
-    one it is the last commit instant, or, in an open feed, the instant before the last, because
-    more changes of the last may still come. NULL transaction columns are never committed unless
-    they are what the feed is ordered by.
+    An instant is whole if every transaction that begins there is. In an open feed whose sizes nobody
+    declares the last instant isn't, because more of it may come.
+    """
+    of = transactions(changes, feed, log)
+    at = of.groupBy("_at").agg(F.sum("_declared").alias("_declared"), F.sum("_arrived").alias("_arrived"), F.min(F.expr(COMPLETE)).alias("_whole"))
+    rows = numbered(at, "_at", "_number")
+    if not feed.closed:
+        last = at.agg(F.max("_at").alias("last"))
+        rows = rows.withColumn("_whole", F.col("_whole") & (F.col("_declared").isNotNull() | F.coalesce(F.col("_at") < last.scalar(), F.lit(True))))
+    return materialize(rows)
+
+
+def frontier(numbers: DataFrame) -> DataFrame:
+    """One row, (watermark, frontier): the last number of the unbroken run of whole instants, and its instant."""
+    mark = contiguous_watermark(numbers.where("_whole"), "_number", seen=numbers)
+    reached = numbers.where(F.col("_number") <= mark.scalar())
+    return reached.agg(F.coalesce(F.max("_number"), F.lit(0)).alias("watermark"), F.max("_at").alias("frontier"))
+
+
+def committed(changes: DataFrame, feed: Feed, first: int | None = None, log: DataFrame | None = None) -> DataFrame:
+    """The changes that are committed: at or below the contiguous watermark of whole transactions.
+
+    With a sequence column the watermark is the end of the unbroken run of complete numbers from
+    ``first`` on, and a NULL number is never committed. Otherwise the commit instants are numbered,
+    and the first instant at which a transaction is incomplete stops it: neither that transaction
+    nor any later one shows. NULL instants come before all others. A feed that declares no sizes and
+    has no log can lack nothing, so all of it is committed, but for the last instant if it is open.
     """
     if feed.sequence:
-        done = complete_transactions(changes, feed)
-        mark = contiguous_watermark(done, feed.sequence, first, changes)
-        kept = changes.where(F.col(feed.sequence) <= mark.scalar())
-        return kept
-    instant = feed.order[0]
-    last = changes.agg(F.max(instant).alias("last"))
-    if feed.closed:
-        visible = changes.where(F.col(instant).isNull() | (F.col(instant) <= last.scalar()))
-    else:
-        visible = changes.where(F.col(instant).isNull() | (F.col(instant) < last.scalar()))
-    if feed.declared and feed.transaction:
-        whole = complete_transactions(changes, feed)
-        on = [visible[c].eqNullSafe(whole[c]) for c in feed.transaction]
-        cond: Column = on[0]
-        for c in on[1:]:
-            cond = cond & c
-        visible = visible.join(whole, cond, "left_semi")
-    return visible
-
-
-def held(changes: DataFrame, feed: Feed, first: int | None = None) -> DataFrame:
-    """The changes of a numbered feed that wait behind a gap or an incomplete transaction."""
-    if not feed.sequence:
-        raise ValueError("only a numbered feed has gaps")
-    mark = contiguous_watermark(complete_transactions(changes, feed), feed.sequence, first, changes)
-    return changes.where(F.col(feed.sequence).isNull() | (F.col(feed.sequence) > F.coalesce(mark.scalar(), F.lit(-(2**62)))))
+        seen = transactions(changes, feed, log)
+        mark = contiguous_watermark(seen.where(COMPLETE), feed.sequence, first, seen)
+        return changes.where(F.col(feed.sequence) <= mark.scalar())
+    if feed.closed and not feed.declared and log is None:
+        return changes
+    at = F.col(feed.order[0])
+    reached = materialize(frontier(instants(changes, feed, log)))
+    until, mark = reached.select("frontier"), reached.select("watermark")
+    return changes.where((at <= until.scalar()) | (at.isNull() & (mark.scalar() > 0)))
+
+
+def held(changes: DataFrame, feed: Feed, first: int | None = None, log: DataFrame | None = None) -> DataFrame:
+    """The changes that wait behind a gap or an incomplete transaction."""
+    if feed.sequence:
+        seen = transactions(changes, feed, log)
+        mark = contiguous_watermark(seen.where(COMPLETE), feed.sequence, first, seen)
+        return changes.where(F.col(feed.sequence).isNull() | (F.col(feed.sequence) > F.coalesce(mark.scalar(), F.lit(-(2**62)))))
+    reached = materialize(frontier(instants(changes, feed, log)))
+    at, until, mark = F.col(feed.order[0]), reached.select("frontier"), reached.select("watermark")
+    return changes.where(F.when(at.isNull(), mark.scalar() == 0).otherwise(until.scalar().isNull() | (at > until.scalar())))
 
 
 def last_changes(changes: DataFrame, feed: Feed, keep: Sequence[str]) -> DataFrame:
@@ -135,8 +191,8 @@ def last_changes(changes: DataFrame, feed: Feed, keep: Sequence[str]) -> DataFra
     )
 
 
-def replay(changes: DataFrame, feed: Feed, keep: Sequence[str] = (), first: int | None = None) -> DataFrame:
-    """The current state: per key that exists, its key and order columns and ``keep``.
+def replay(changes: DataFrame, feed: Feed, keep: Sequence[str] = (), first: int | None = None, log: DataFrame | None = None) -> DataFrame:
+    """The current state at the committed watermark: per key that exists, its key and order columns and ``keep``.
 
     Entities whose last committed change is a delete are gone; a change whose insert never came
     still counts, because it carries the whole state. NULL keys are no entity. NULL order values
@@ -144,7 +200,7 @@ def replay(changes: DataFrame, feed: Feed, keep: Sequence[str] = (), first: int
     the result doesn't depend on arrival. An empty feed gives an empty state. Only the named columns
     are read, so extra columns of any name do no harm; ``keep`` columns must be orderable.
     """
-    state = last_changes(committed(changes, feed, first), feed, keep)
+    state = last_changes(committed(changes, feed, first, log), feed, keep)
     return state.where(~F.col("deleted")).drop("deleted")
 
 

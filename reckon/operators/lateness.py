@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 
 from reckon.operators.scale import broadcast_if
 
-#: Periods up to which their closings are broadcast (27 years of days); beyond, the join shuffles.
-MOST_PERIODS = 10_000
-
 
 def first_arrivals(events: DataFrame, *, id: str, event_time: str, arrival: str) -> DataFrame:
     """(id, event_time, arrival): per id its earliest delivery. NULL ids, times or arrivals don't count.
@@ -52,7 +49,7 @@ def buffered(arrivals: DataFrame, closed: DataFrame, bound_hours: int) -> DataFr
     An arrival exactly at the closing is on time, one exactly at the bound is corrected.
     """
     slack = F.expr(f"INTERVAL {int(bound_hours)} HOURS")
-    days = broadcast_if(closed, MOST_PERIODS)
+    days = broadcast_if(closed)
     rows = arrivals.withColumn("period", F.to_date("event_time")).join(days, "period", "left")
     return rows.select(
         "id", "event_time", "arrival", "period", "closed_at", (F.col("closed_at") + slack).alias("release_at"),

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from reckon.operators.scale import broadcast_if
 from reckon.schemas import ANNOUNCED
 
-#: Day and currency pairs up to which differing days are broadcast.
-MOST_DAYS = 100_000
-
 
 def unposted_net(movements: DataFrame, posted: DataFrame) -> DataFrame:
     """(close_date, currency, net) of movements without any posting, by their day of creation."""
@@ -50,7 +47,7 @@ def items(weighed: DataFrame, movements: DataFrame, posted: DataFrame) -> DataFr
     A movement touches the days it is created and available on; exploding these (one row if they
     are the same day) makes the join an equi-join on day and currency.
     """
-    moved = broadcast_if(weighed.where("unexplained_movement <> 0").select("close_date", "currency", "unexplained_difference", "unexplained_movement"), MOST_DAYS)
+    moved = broadcast_if(weighed.where("unexplained_movement <> 0").select("close_date", "currency", "unexplained_difference", "unexplained_movement"))
     days = F.array_distinct(F.array_compact(F.array(F.to_date("created"), F.to_date("available_on"))))
     touched = movements.select("balance_transaction_id", "source_id", "reporting_category", "net", "currency", F.to_date("created").alias("born"), F.explode(days).alias("close_date")).join(moved, ["close_date", "currency"])
     counted = posted.groupBy("balance_transaction_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("entry_id").alias("e"))

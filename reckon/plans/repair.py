@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reckon.operators import changes, compare, dedup, lateness, nested
+from reckon.operators.scale import materialize
 from reckon.sources.tables import table
 
 #: Lateness bound of problem 2.
@@ -14,14 +15,31 @@ CUT_OFF_HOURS = 240
 ENTITY_FEED = changes.Feed(key=["entity_id"], order=["created", "event_id"], deletes="event_type IN ('customer.deleted', 'payment_method.detached')")
 
 
+def _feed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The changes, and the log of what committed: the delivered events, which are the same commits unreduced."""
+    log = table(spark, sf, "bronze_events").where(F.col("event_id").isNotNull()).select("event_id", "created")
+    return table(spark, sf, "silver_events"), log
+
+
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    """The change that stands of every entity that exists."""
-    return changes.replay(table(spark, sf, "silver_events"), ENTITY_FEED).select("entity_id", "event_id")
+    """The change that stands of every entity that exists at the committed watermark."""
+    feed, log = _feed(spark, sf)
+    return changes.replay(feed, ENTITY_FEED, log=log).select("entity_id", "event_id")
 
 
 def p1_state(spark: SparkSession, sf: str) -> DataFrame:
     """The rebuilt state itself: type, amount, currency and status of every entity that exists."""
-    return changes.replay(table(spark, sf, "silver_events"), ENTITY_FEED, keep=["entity_type", "amount", "currency", "status"]).drop("created")
+    feed, log = _feed(spark, sf)
+    return changes.replay(feed, ENTITY_FEED, keep=["entity_type", "amount", "currency", "status"], log=log).drop("created")
+
+
+def p1_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    """How far the feed is committed: the transactions, those whole, the watermark and its instant, and the changes held."""
+    feed, log = _feed(spark, sf)
+    numbers = changes.instants(feed, ENTITY_FEED, log)
+    reached = materialize(changes.frontier(numbers))
+    counts = numbers.agg(F.count(F.lit(1)).alias("transactions"), F.count_if("_whole").alias("whole"), F.coalesce(F.sum("_declared"), F.lit(0)).alias("declared"), F.coalesce(F.sum("_arrived"), F.lit(0)).alias("arrived"))
+    return counts.select("*", reached.select("watermark").scalar().alias("watermark"), reached.select("frontier").scalar().alias("frontier"))
 
 
 def _buffer(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,4 +161,4 @@ def p5_messages(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.one_of_each(messages, id="event_id", order=DELIVERY_ORDER, copies="copies")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_state, p2_found, p2_days, p3_found, p3_movements, p3_fee_lines, p3_events, p4_found, p4_values, p5_found, p5_messages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_state, p1_watermark, p2_found, p2_days, p3_found, p3_movements, p3_fee_lines, p3_events, p4_found, p4_values, p5_found, p5_messages)}

@@ -9,6 +9,17 @@ SELECT {cols} FROM ranked
 WHERE rn = 1 AND event_type NOT IN ('customer.deleted', 'payment_method.detached')
 """
 
+_COMMITS = """
+commits AS (
+  SELECT created, count(DISTINCT event_id) FILTER (side = 'log') AS declared, count(DISTINCT event_id) FILTER (side = 'feed') AS arrived
+  FROM (SELECT created, event_id, 'log' AS side FROM bronze_events WHERE event_id IS NOT NULL
+        UNION ALL SELECT created, event_id, 'feed' FROM silver_events) GROUP BY created
+), told AS (
+  SELECT *, row_number() OVER (ORDER BY created NULLS FIRST) AS no, arrived >= declared AS whole FROM commits
+), reached AS (
+  SELECT coalesce(min(no) FILTER (NOT whole) - 1, max(no), 0) AS watermark FROM told
+)"""
+
 _BUFFER = """
 arrivals AS (
   SELECT event_id, min(ingested_at) AS arrival, min(created) AS created
@@ -67,13 +78,16 @@ grid AS (
 ), reported AS (SELECT DISTINCT as_of_date, lower(trim(currency)) AS currency, pending, available FROM reported_balance)"""
 
 _KEPT = """
-SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY kafka_timestamp, kafka_partition, kafka_offset{more}) AS rn,
+SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY kafka_timestamp, kafka_partition, kafka_offset) AS rn,
        count(*) OVER (PARTITION BY event_id) AS copies
 FROM bronze_events WHERE event_id IS NOT NULL"""
 
 SQL = {
     "p1_found": _LAST.format(cols="entity_id, event_id"),
     "p1_state": _LAST.format(cols="entity_id, event_id, entity_type, amount, currency, status"),
+    "p1_watermark": f"""WITH {_COMMITS}
+SELECT count(*) AS transactions, count(*) FILTER (whole) AS whole, CAST(coalesce(sum(declared), 0) AS BIGINT) AS declared, CAST(coalesce(sum(arrived), 0) AS BIGINT) AS arrived,
+  (SELECT watermark FROM reached) AS watermark, (SELECT max(created) FROM told WHERE no <= (SELECT watermark FROM reached)) AS frontier FROM told""",
     "p2_found": f"WITH {_BUFFER} SELECT event_id, strftime(close_date, '%Y-%m-%d') AS close_date FROM buffer WHERE status = 'corrected'",
     "p2_days": f"""WITH {_BUFFER}, {_version("prov", "'on_time'")}, {_version("fin", "'on_time', 'corrected'")}
 SELECT d.close_date, p.events AS provisional_events, p.first_id AS provisional_first_id, p.last_id AS provisional_last_id,
@@ -99,6 +113,11 @@ FROM ledger l FULL JOIN reported r ON l.as_of_date = r.as_of_date AND l.currency
 SELECT strftime(d, '%Y-%m-%d') AS as_of_date, c AS currency, 'pending' AS field, CAST(lp AS VARCHAR) AS ledger_value, CAST(rp AS VARCHAR) AS reported_value
 FROM j WHERE lp IS DISTINCT FROM rp OR hl <> hr
 UNION ALL SELECT strftime(d, '%Y-%m-%d'), c, 'available', CAST(la AS VARCHAR), CAST(ra AS VARCHAR) FROM j WHERE la IS DISTINCT FROM ra OR hl <> hr""",
-    "p5_found": f"""WITH kept AS ({_KEPT.format(more="")})
+    "p5_found": f"""WITH kept AS ({_KEPT})
 SELECT event_id, CAST(kafka_partition AS BIGINT) AS kafka_partition, kafka_offset FROM kept WHERE rn = 1 AND copies > 1""",
+    "p5_messages": """WITH kept AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY kafka_timestamp NULLS FIRST, kafka_partition NULLS FIRST, kafka_offset NULLS FIRST,
+           event_type NULLS FIRST, ingested_at NULLS FIRST) AS rn, count(*) OVER (PARTITION BY event_id) AS n FROM bronze_events)
+SELECT event_id, event_type, kafka_timestamp, kafka_partition, kafka_offset, ingested_at, CASE WHEN event_id IS NULL THEN 1 ELSE n END AS copies
+FROM kept WHERE rn = 1 OR event_id IS NULL""",
 }

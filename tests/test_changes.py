@@ -94,3 +94,41 @@ def test_batches_in_any_order_reach_the_same_state(spark):
         for i in order[1:]:
             state = changes.advance(state, spark.createDataFrame(parts[i], SCHEMA), FEED, ["v"])
         assert got(state.where(~F.col("deleted"))) == brute(rows)
+
+
+def test_incomplete_instant_hides_all_later_ones(spark):
+    sized = changes.Feed(key=["k"], order=["t", "id"], deletes="op = 'd'", declared="size")
+    schema = SCHEMA + ", size int"
+    rows = [("a", 1, "x", "i", 1, 1), ("b", 2, "y", "i", 2, 2), ("c", 3, "z", "i", 3, 1)]
+    df = spark.createDataFrame(rows, schema)
+    assert [r.k for r in changes.replay(df, sized).collect()] == ["a"]
+    assert sorted(r.k for r in changes.held(df, sized).collect()) == ["b", "c"]
+    whole = df.unionByName(spark.createDataFrame([("d", 2, "w", "i", 4, 2), ("d", 2, "w", "i", 4, 2)], schema))
+    assert sorted(r.k for r in changes.replay(whole, sized).collect()) == ["a", "b", "c", "d"]
+    named = changes.Feed(key=["k"], order=["t", "id"], deletes="op = 'd'", transaction=["x"], declared="size")
+    of = spark.createDataFrame([(*r, f"t{r[1]}") for r in rows], schema + ", x string")
+    assert [r.k for r in changes.replay(of, named).collect()] == ["a"]
+
+
+def test_log_of_commits_tells_what_is_missing(spark):
+    rows = [("a", 1, "x", "i", 1), ("a", 1, "x", "i", 1), ("b", 2, "y", "i", 2), ("c", 4, "z", "i", 3), (None, None, "n", "i", 0)]
+    feed = spark.createDataFrame(rows, SCHEMA)
+    log = lambda *ids: spark.createDataFrame(list(ids), "id string, t int")
+    whole = log(("x", 1), ("y", 2), ("z", 4), ("z", 4), ("n", None))
+    names = lambda lg: sorted(r.k for r in changes.replay(feed, FEED, log=lg).collect())
+    assert names(whole) == ["a", "b", "c"]
+    assert names(whole.unionByName(log(("q", 3)))) == ["a", "b"]
+    assert names(whole.unionByName(log(("q", 2)))) == ["a"]
+    assert names(whole.unionByName(log(("q", None)))) == []
+    assert names(log()) == ["a", "b", "c"]
+    gone = changes.held(feed, FEED, log=whole.unionByName(log(("q", 3))))
+    assert [r.k for r in gone.collect()] == ["c"]
+    assert changes.held(feed, FEED, log=whole).count() == 0
+    assert changes.replay(spark.createDataFrame([], SCHEMA), FEED, log=log(("q", 1))).count() == 0
+
+
+def test_places_against_a_sort(spark):
+    rng = random.Random(9)
+    values = rng.sample(range(1000), 300) + [None]
+    got = {r.v: r.n for r in changes.numbered(spark.createDataFrame([(v,) for v in values], "v int"), "v", "n").collect()}
+    assert got == {v: i + 1 for i, v in enumerate(sorted(values, key=lambda v: (v is not None, v)))}
