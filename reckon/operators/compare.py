@@ -10,15 +10,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType, FloatType, NullType, StringType
 
 
-def _cells(df: DataFrame, keys: Sequence[str], fields: Sequence[str], types: dict[str, str], left: bool) -> DataFrame:
+def common_types(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> dict[str, DataType]:
+    """For each column the type that takes the values of both sides; TypeError where there is none.
+
+    Numbers widen to the wider type, dates to timestamps. Text and anything else have no common type.
+    """
+    out = {}
+    for c in columns:
+        a, b = left.schema[c].dataType, right.schema[c].dataType
+        if a != b and not isinstance(a, NullType) and not isinstance(b, NullType):
+            if isinstance(a, StringType) or isinstance(b, StringType):
+                raise TypeError(f"{c} is {a.simpleString()} on the left and {b.simpleString()} on the right")
+        try:
+            out[c] = left.select(c).limit(0).union(right.select(c).limit(0)).schema[c].dataType
+        except AnalysisException as e:
+            raise TypeError(f"{c} is {a.simpleString()} on the left and {b.simpleString()} on the right") from e
+    return out
+
+
+def _text(column: str, kind: DataType) -> Column:
+    """A value as text that is equal exactly where values are: a negative zero is a zero."""
+    c = F.col(column).cast(kind)
+    return (c + F.lit(0.0).cast(kind) if isinstance(kind, (DoubleType, FloatType)) else c).cast("string")
+
+
+def _cells(df: DataFrame, keys: Sequence[str], fields: Sequence[str], types: dict[str, DataType], left: bool) -> DataFrame:
     cell = lambda no, value: F.struct(F.lit(no).alias("field_no"), value.alias("value"))
     # The row mark is field -1; a field's cell holds NULL as NULL, which groups with NULL alone.
-    cells = [cell(-1, F.lit(None).cast("string"))] + [cell(i, F.col(f).cast(types[f]).cast("string")) for i, f in enumerate(fields)]
-    rows = df.select(*[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)], F.explode(F.array(*cells)).alias("c"))
+    cells = [cell(-1, F.lit(None).cast("string"))] + [cell(i, _text(f, types[f])) for i, f in enumerate(fields)]
+    rows = df.select(*[F.col(k).cast(types[k]).alias(f"key{i}") for i, k in enumerate(keys)], F.explode(F.array(*cells)).alias("c"))
     return rows.select(*[f"key{i}" for i in range(len(keys))], "c.field_no", "c.value", F.lit(int(left)).alias("l"), F.lit(int(not left)).alias("r"))
 
 
@@ -28,9 +54,10 @@ def findings(left: DataFrame, right: DataFrame, *, keys: Sequence[str], fields:
     A side that repeats a row says the same as one that has it once, unless ``count_rows``: then a
     key whose number of rows differs gives the finding ``rows``. If a side repeats a key with
     different values, the field differs. NULL equals NULL and differs from every value; NULL keys
-    match each other. Values compare in the left side's type. Empty sides are allowed.
+    match each other. Values compare in the wider of both sides' types, a field without a common type is
+    a TypeError. Empty sides are allowed.
     """
-    types = {f: dict(left.select(*fields).dtypes)[f] for f in fields}
+    types = common_types(left, right, [*keys, *fields])
     ks = [f"key{i}" for i in range(len(keys))]
     cells = _cells(left, keys, fields, types, True).unionByName(_cells(right, keys, fields, types, False))
     counted = cells.groupBy(*ks, "field_no", "value").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
@@ -53,7 +80,7 @@ def values_apart(left: DataFrame, right: DataFrame, *, keys: Sequence[str], fiel
     Of several values of one side for a cell the greatest is shown. A missing row shows as NULLs on
     its side in every field that the other side fills.
     """
-    types = {f: dict(left.select(*fields).dtypes)[f] for f in fields}
+    types = common_types(left, right, [*keys, *fields])
     ks = [f"key{i}" for i in range(len(keys))]
     cells = _cells(left, keys, fields, types, True).unionByName(_cells(right, keys, fields, types, False)).where("field_no >= 0")
     counted = cells.groupBy(*ks, "field_no", "value").agg(F.sum("l").alias("l"), F.sum("r").alias("r")).where("(l > 0) != (r > 0)")

@@ -95,8 +95,7 @@ def p3_fee_lines(spark: SparkSession, sf: str) -> DataFrame:
 def p3_events(spark: SparkSession, sf: str) -> DataFrame:
     """Flat table of events: the envelope of every different payload, with its document digest."""
     events = table(spark, sf, "bronze_events").where(F.col("event_id").isNotNull())
-    digest = F.md5(F.to_json(F.struct("event_id", F.col("payload").alias("_text")), {"ignoreNullFields": "false"}))
-    return events.select("event_id", digest.alias("document"), "event_type", "created", "livemode", "api_version").distinct()
+    return events.select("event_id", F.md5("payload").alias("document"), "event_type", "created", "livemode", "api_version").distinct()
 
 
 def currency_name(column: str):

@@ -61,6 +61,38 @@ nodes AS (
   WHERE type = 'OBJECT' AND json_extract_string(value, '$.object') = 'balance_transaction'
 )"""
 
+#: Labels from the tree: places in order of the nodes' ids; a node closes after its descendants and before its ancestors.
+_LABELS = """
+docs AS (
+  SELECT DISTINCT event_id, payload, md5(payload) AS document FROM bronze_events
+  WHERE event_id IS NOT NULL AND payload LIKE '%"balance_transaction"%' AND json_valid(payload)
+), raw AS (
+  SELECT d.event_id, d.document, t.id, t.parent, t.key, t.type, t.value FROM docs d, json_tree(d.payload, '$.data.object') t
+), up AS (
+  SELECT event_id, document, id, parent AS above FROM raw WHERE parent IS NOT NULL
+  UNION ALL SELECT u.event_id, u.document, u.id, r.parent FROM up u JOIN raw r ON r.event_id = u.event_id AND r.document = u.document AND r.id = u.above WHERE r.parent IS NOT NULL
+), depths AS (SELECT event_id, document, id, count(*) AS depth FROM up GROUP BY ALL
+), sizes AS (SELECT event_id, document, above AS id, count(*) AS below FROM up GROUP BY ALL
+), placed AS (
+  SELECT r.*, row_number() OVER (PARTITION BY event_id, document ORDER BY id) - 1 AS pre, coalesce(depth, 0) AS depth, coalesce(below, 0) AS below
+  FROM raw r LEFT JOIN depths USING (event_id, document, id) LEFT JOIN sizes USING (event_id, document, id)
+), labels AS (
+  SELECT n.event_id, n.document, n.pre, n.pre + n.below - n.depth AS post, CAST(n.depth AS INTEGER) AS depth, p.pre AS parent_pre, n.type, n.value,
+    CASE WHEN p.type = 'ARRAY' THEN p.key ELSE n.key END AS field, CASE WHEN p.type = 'ARRAY' THEN CAST(n.key AS BIGINT) END AS position
+  FROM placed n LEFT JOIN placed p ON p.event_id = n.event_id AND p.document = n.document AND p.id = n.parent
+), movements AS (
+  SELECT * FROM labels WHERE type = 'OBJECT' AND json_extract_string(value, '$.object') = 'balance_transaction'
+)"""
+
+
+def _long(name: str) -> str:
+    return f"CASE WHEN json_type(value, '$.{name}') IN ('BIGINT', 'UBIGINT') THEN CAST(json_extract(value, '$.{name}') AS BIGINT) END AS {name}"
+
+
+def _string(name: str) -> str:
+    return f"json_extract_string(value, '$.{name}') AS {name}"
+
+
 _LEDGER = """
 named AS (SELECT DISTINCT posting_id, account, amount, lower(trim(currency)) AS currency, posted_on FROM ledger_postings),
 grid AS (
@@ -100,6 +132,15 @@ SELECT DISTINCT event_id, json_extract_string(value, '$.id') AS balance_transact
   CASE WHEN json_type(value, '$.fee_details') = 'ARRAY' AND json_array_length(value, '$.fee_details') > 0
        THEN range(CAST(json_array_length(value, '$.fee_details') AS BIGINT)) ELSE [-1] END) AS BIGINT) AS fee_no
 FROM movements""",
+    "p3_movements": f"""WITH RECURSIVE {_LABELS}
+SELECT event_id, document, pre, post, depth, parent_pre, field, position, json_extract_string(value, '$.id') AS balance_transaction_id,
+  {", ".join(map(_string, ("source", "type", "reporting_category")))}, {", ".join(map(_long, ("amount", "fee", "net")))}, {_string("currency")}, {_string("status")} FROM movements""",
+    "p3_fee_lines": f"""WITH RECURSIVE {_LABELS}
+SELECT f.event_id, f.document, m.pre AS movement_pre, json_extract_string(m.value, '$.id') AS balance_transaction_id, f.pre, f.position AS fee_no,
+  {_long("amount").replace("(value", "(f.value")}, {", ".join(_string(c).replace("(value", "(f.value") for c in ("currency", "description", "type"))}
+FROM movements m JOIN labels a ON a.event_id = m.event_id AND a.document = m.document AND a.parent_pre = m.pre AND a.field = 'fee_details' AND a.position IS NULL
+JOIN labels f ON f.event_id = a.event_id AND f.document = a.document AND f.parent_pre = a.pre AND f.position IS NOT NULL""",
+    "p3_events": "SELECT DISTINCT event_id, md5(payload) AS document, event_type, created, livemode, api_version FROM bronze_events WHERE event_id IS NOT NULL",
     "p4_found": f"""WITH {_LEDGER}
 SELECT DISTINCT strftime(coalesce(l.as_of_date, r.as_of_date), '%Y-%m-%d') AS as_of_date, coalesce(l.currency, r.currency) AS currency,
   unnest(CASE WHEN l.currency IS NULL THEN ['missing_in_ledger'] WHEN r.currency IS NULL THEN ['missing_in_reported']

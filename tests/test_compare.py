@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from reckon.operators import compare
 
 SCHEMA = "k string, d int, x long, y string, field_no int, value string"
@@ -44,3 +46,16 @@ def test_counting_rows(spark):
     one = ("a", 1, 5, "p")
     assert run(spark, [one, one], [one]) == []
     assert run(spark, [one, one], [one], count_rows=True) == [("a", 1, "rows")]
+
+
+def test_values_compare_in_the_wider_type(spark):
+    a = spark.createDataFrame([(1, 1), (2, 2), (3, 0)], "k int, x long")
+    b = spark.createDataFrame([(1, 1.5), (2, 2.0), (3, -0.0)], "k long, x double")
+    for left, right in ((a, b), (b, a)):
+        assert [(r.k, r.finding) for r in compare.findings(left, right, keys=["k"], fields=["x"]).collect()] == [(1, "x")]
+    assert [tuple(r) for r in compare.values_apart(a, b, keys=["k"], fields=["x"]).collect()] == [(1, "x", "1.0", "1.5")]
+    c = spark.createDataFrame([(1, "1")], "k int, x string")
+    with pytest.raises(TypeError):
+        compare.findings(a, c, keys=["k"], fields=["x"])
+    with pytest.raises(TypeError):
+        compare.findings(a, spark.sql("SELECT 1 AS k, DATE'2026-01-01' AS x"), keys=["k"], fields=["x"])
