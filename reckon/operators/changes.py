@@ -139,6 +139,31 @@ def frontier(numbers: DataFrame) -> DataFrame:
     return reached.agg(F.coalesce(F.max("_number"), F.lit(0)).alias("watermark"), F.max("_at").alias("frontier"))
 
 
+def watermark(changes: DataFrame, feed: Feed, first: int | None = None, log: DataFrame | None = None) -> DataFrame | None:
+    """One written row, (watermark, frontier): the contiguous watermark, and its instant where instants are numbered.
+
+    None for a closed feed that declares no sizes, has no numbers and no log: it can lack nothing.
+    """
+    if feed.sequence:
+        seen = transactions(changes, feed, log)
+        mark = contiguous_watermark(seen.where(COMPLETE), feed.sequence, first, seen)
+        return materialize(mark.withColumn("frontier", F.lit(None).cast("string")))
+    if feed.closed and not feed.declared and log is None:
+        return None
+    return materialize(frontier(instants(changes, feed, log)))
+
+
+def visible(feed: Feed, mark: DataFrame | None) -> Column:
+    """Whether a change is at or below a watermark; never NULL."""
+    if mark is None:
+        return F.lit(True)
+    number, until = mark.select("watermark").scalar(), mark.select("frontier").scalar()
+    if feed.sequence:
+        return F.coalesce(F.col(feed.sequence) <= number, F.lit(False))
+    at = F.col(feed.order[0])
+    return F.when(at.isNull(), number > 0).otherwise(F.coalesce(at <= until, F.lit(False)))
+
+
 def committed(changes: DataFrame, feed: Feed, first: int | None = None, log: DataFrame | None = None) -> DataFrame:
     """The changes that are committed: at or below the contiguous watermark of whole transactions.
 
@@ -148,27 +173,12 @@ def committed(changes: DataFrame, feed: Feed, first: int | None = None, log: Dat
     nor any later one shows. NULL instants come before all others. A feed that declares no sizes and
     has no log can lack nothing, so all of it is committed, but for the last instant if it is open.
     """
-    if feed.sequence:
-        seen = transactions(changes, feed, log)
-        mark = contiguous_watermark(seen.where(COMPLETE), feed.sequence, first, seen)
-        return changes.where(F.col(feed.sequence) <= mark.scalar())
-    if feed.closed and not feed.declared and log is None:
-        return changes
-    at = F.col(feed.order[0])
-    reached = materialize(frontier(instants(changes, feed, log)))
-    until, mark = reached.select("frontier"), reached.select("watermark")
-    return changes.where((at <= until.scalar()) | (at.isNull() & (mark.scalar() > 0)))
+    return changes.where(visible(feed, watermark(changes, feed, first, log)))
 
 
 def held(changes: DataFrame, feed: Feed, first: int | None = None, log: DataFrame | None = None) -> DataFrame:
     """The changes that wait behind a gap or an incomplete transaction."""
-    if feed.sequence:
-        seen = transactions(changes, feed, log)
-        mark = contiguous_watermark(seen.where(COMPLETE), feed.sequence, first, seen)
-        return changes.where(F.col(feed.sequence).isNull() | (F.col(feed.sequence) > F.coalesce(mark.scalar(), F.lit(-(2**62)))))
-    reached = materialize(frontier(instants(changes, feed, log)))
-    at, until, mark = F.col(feed.order[0]), reached.select("frontier"), reached.select("watermark")
-    return changes.where(F.when(at.isNull(), mark.scalar() == 0).otherwise(until.scalar().isNull() | (at > until.scalar())))
+    return changes.where(~visible(feed, watermark(changes, feed, first, log)))
 
 
 def last_changes(changes: DataFrame, feed: Feed, keep: Sequence[str]) -> DataFrame:

@@ -3,7 +3,8 @@
 Every event waits in a buffer until the lateness bound K of its period has passed; then the buffer
 releases the period's events sorted by event time to the final aggregate. Until then the buffer's
 content gives provisional values. In a batch run the buffer is the table itself: each event's status
-follows from its first arrival, its period's closing and K.
+follows from its first arrival, its period's closing and K; on a stream it is kept state
+(``streaming.feeds.kslack``), which releases to the same aggregate.
 
     on_time    arrived by the closing: in the provisional and the final value
     corrected  arrived after it, within K: only in the final value
@@ -57,19 +58,26 @@ def buffered(arrivals: DataFrame, closed: DataFrame, bound_hours: int) -> DataFr
     )
 
 
-def ordered_values(buffer: DataFrame, slot_seconds: int = 60) -> DataFrame:
-    """Per closed period the provisional and the final value of order-sensitive aggregates.
+def released(buffer: DataFrame) -> DataFrame:
+    """What the buffer lets go, in order of release: by release, event time and id.
 
-    Columns: period, then for ``provisional_`` and ``final_``: events, first_id, last_id (by event
-    time, then id byte by byte) and longest_gap_s, the longest time in whole seconds between
-    neighbours; and too_late, the events left out. NULL where a value has no events; a single event
-    has a gap of 0. Periods without any event have no row.
+    Each period's events leave it sorted once the bound has passed; those that came too late, and
+    those of periods that aren't closed, never do. Rows are range-partitioned by all three columns, so
+    that no period and no instant, however many events it has, is one task.
     """
-    versions = F.when(F.col("status") == "on_time", F.array(F.lit("provisional"), F.lit("final"))).when(F.col("status") == "corrected", F.array(F.lit("final"))).otherwise(F.array(F.lit("too_late")))
-    rows = buffer.where(F.col("status") != "not_closed").select("period", "event_time", "id", F.explode(versions).alias("version"))
-    instants = rows.groupBy("period", "version", "event_time").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+    out = buffer.where(F.col("status").isin("on_time", "corrected"))
+    return out.repartitionByRange("release_at", "event_time", "id").sortWithinPartitions("release_at", "event_time", "id")
+
+
+def instants(rows: DataFrame) -> DataFrame:
+    """(period, version, t, n, lo, hi): events merged by instant, in microseconds; they are counted and their least and greatest id kept."""
     at = F.unix_micros(F.col("event_time").cast("timestamp"))
-    slotted = instants.withColumn("t", at).withColumn("slot", F.floor(at / F.lit(slot_seconds * 1_000_000)))
+    return rows.groupBy("period", "version", at.alias("t")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+
+
+def values_of(merged: DataFrame, slot_seconds: int = 60) -> DataFrame:
+    """(period, version, events, first_id, last_id, longest_gap_s) from instants: slots sort alone, then merge in order."""
+    slotted = merged.withColumn("slot", F.floor(F.col("t") / F.lit(slot_seconds * 1_000_000)))
     within = Window.partitionBy("period", "version", "slot").orderBy("t")
     steps = slotted.withColumn("step", F.col("t") - F.lag("t").over(within))
     slots = steps.groupBy("period", "version", "slot").agg(
@@ -78,11 +86,34 @@ def ordered_values(buffer: DataFrame, slot_seconds: int = 60) -> DataFrame:
     )
     along = Window.partitionBy("period", "version").orderBy("slot")
     joined = slots.withColumn("gap", F.greatest("gap", F.col("t0") - F.lag("t1").over(along)))
-    values = joined.groupBy("period", "version").agg(
+    return joined.groupBy("period", "version").agg(
         F.sum("n").alias("events"), F.min(F.struct("slot", "first_id")).getField("first_id").alias("first_id"),
         F.max(F.struct("slot", "last_id")).getField("last_id").alias("last_id"),
         F.expr("coalesce(max(gap), 0) div 1000000").alias("longest_gap_s"),
     )
+
+
+def side_by_side(values: DataFrame, too_late: DataFrame) -> DataFrame:
+    """One row a period from one a version, with the number of events left out (period, too_late)."""
     pick = lambda v, c: F.max(F.when(F.col("version") == v, F.col(c)))
     wide = [pick(v, c).alias(f"{v}_{c}") for v in ("provisional", "final") for c in ("events", "first_id", "last_id", "longest_gap_s")]
-    return values.groupBy("period").agg(*wide, F.coalesce(pick("too_late", "events"), F.lit(0)).alias("too_late"))
+    columns = ["period", "version", "events", "first_id", "last_id", "longest_gap_s"]
+    left_out = too_late.select("period", F.lit("too_late").alias("version"), F.col("too_late").alias("events"), *[F.lit(None).cast(t).alias(c) for c, t in (("first_id", "string"), ("last_id", "string"), ("longest_gap_s", "long"))])
+    every = values.select(*columns).unionByName(left_out)
+    return every.groupBy("period").agg(*wide, F.coalesce(pick("too_late", "events"), F.lit(0)).alias("too_late"))
+
+
+def ordered_values(buffer: DataFrame, slot_seconds: int = 60) -> DataFrame:
+    """Per closed period the provisional and the final value of order-sensitive aggregates.
+
+    Columns: period, then for ``provisional_`` and ``final_``: events, first_id, last_id (by event
+    time, then id byte by byte) and longest_gap_s, the longest time in whole seconds between
+    neighbours; and too_late, the events left out. Final values come from what the buffer releases,
+    provisional ones from its content at the closing. NULL where a value has no events; a single
+    event has a gap of 0. Periods without any event have no row.
+    """
+    final = released(buffer).withColumn("version", F.lit("final"))
+    provisional = buffer.where("status = 'on_time'").withColumn("version", F.lit("provisional"))
+    merged = instants(final).unionByName(instants(provisional))
+    too_late = buffer.where("status = 'too_late'").groupBy("period").agg(F.count(F.lit(1)).alias("too_late"))
+    return side_by_side(values_of(merged, slot_seconds), too_late)

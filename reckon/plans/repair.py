@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reckon.operators import changes, compare, dedup, lateness, nested
-from reckon.operators.scale import materialize
+from reckon.operators.scale import materialize, scratch_folder
+from reckon.sources import landing
 from reckon.sources.tables import table
+from reckon.streaming import feeds
 
 #: Lateness bound of problem 2.
 CUT_OFF_HOURS = 240
@@ -49,8 +53,8 @@ def _buffer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Events that corrected a day after its closing, within the cut-off."""
-    return _buffer(spark, sf).where("status = 'corrected'").select(F.col("id").alias("event_id"), F.date_format("period", "yyyy-MM-dd").alias("close_date"))
+    """Events that corrected a day after its closing, within the cut-off, as the buffer releases them."""
+    return lateness.released(_buffer(spark, sf)).where("status = 'corrected'").select(F.col("id").alias("event_id"), F.date_format("period", "yyyy-MM-dd").alias("close_date"))
 
 
 def p2_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,6 +62,20 @@ def p2_days(spark: SparkSession, sf: str) -> DataFrame:
     return lateness.ordered_values(_buffer(spark, sf)).withColumnRenamed("period", "close_date")
 
 
+#: How long the stream waits for deliveries that come out of order, and the slots and lanes its buffer is kept in.
+STREAM = {"delay": "1 hour", "slot_seconds": 3_600, "lanes": 2}
+
+
+def p2_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same values from the deliveries drained as a stream through the kept buffer."""
+    closed = lateness.closings(table(spark, sf, "daily_close_log"), period="close_date", closed_at="closed_at", among=table(spark, sf, "daily_close"))
+    root = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    stream = landing.table_stream(spark, f"{sf}/bronze_events.parquet", table(spark, sf, "bronze_events").schema)
+    slots = feeds.kslack(stream, closed, id="event_id", event_time="created", arrival="ingested_at", bound_hours=CUT_OFF_HOURS, **STREAM)
+    feeds.log_batches(slots, f"{root}/log", f"{root}/offsets").awaitTermination()
+    return feeds.slack_values(spark, f"{root}/log").withColumnRenamed("period", "close_date")
+
+
 #: What a movement's own fields are read as.
 MOVEMENT = "id string, source string, type string, reporting_category string, amount long, fee long, net long, currency string, created long, available_on long, status string"
 FEE_LINE = "amount long, currency string, description string, type string"
@@ -160,4 +178,4 @@ def p5_messages(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.one_of_each(messages, id="event_id", order=DELIVERY_ORDER, copies="copies")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_state, p1_watermark, p2_found, p2_days, p3_found, p3_movements, p3_fee_lines, p3_events, p4_found, p4_values, p5_found, p5_messages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_state, p1_watermark, p2_found, p2_days, p2_stream, p3_found, p3_movements, p3_fee_lines, p3_events, p4_found, p4_values, p5_found, p5_messages)}

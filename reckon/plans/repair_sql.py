@@ -162,3 +162,4 @@ SELECT event_id, CAST(kafka_partition AS BIGINT) AS kafka_partition, kafka_offse
 SELECT event_id, event_type, kafka_timestamp, kafka_partition, kafka_offset, ingested_at, CASE WHEN event_id IS NULL THEN 1 ELSE n END AS copies
 FROM kept WHERE rn = 1 OR event_id IS NULL""",
 }
+SQL["p2_stream"] = SQL["p2_days"]

@@ -1,10 +1,12 @@
 """Streams drained from files: landing, exact dedup under replay, kept state, K-slack."""
 
 import datetime as dt
+import os
+import random
 
 from pyspark.sql import functions as F
 
-from reckon.operators import changes, events
+from reckon.operators import changes, events, lateness
 from reckon.sources import landing
 from reckon.sources.store import Store
 from reckon.streaming import feeds
@@ -49,36 +51,70 @@ def test_state_of_a_feed(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     feeds.replayed_state(stream, store, "state", feed, [], str(tmp_path / "c")).awaitTermination()
     assert sorted((r.k, r.t) for r in store.read("state").where("NOT deleted").collect()) == [("b", 2), ("c", 1)]
-    store.append("state", store.read("state"))
+    again = store.read("state")
+    for _ in range(2):
+        store.append("state", again, token="t1")
     assert store.read("state").count() == 6
     store.drop("state")
     assert not store.exists("state")
 
 
-def test_kslack_releases_sorted_slots(spark, tmp_path):
-    at = lambda s: dt.datetime(2026, 1, 1) + dt.timedelta(seconds=s)
-    batches = [[("e2", at(20)), ("e1", at(5)), ("e1", at(5)), ("n", at(70))], [("e0", at(15)), ("f", at(400))], [("late", at(30)), ("g", at(1000))], [("h", at(1100))]]
-    out = []
+def drained(spark, folder, batches, schema):
+    """A stream that gives each batch of rows in a micro-batch of its own."""
+    folder.mkdir()
     for i, b in enumerate(batches):
-        spark.createDataFrame(b, "id string, t timestamp").coalesce(1).write.parquet(str(tmp_path / f"in/b{i}"))
-    import os
-    import time
-
-    for i in range(len(batches)):
-        d = tmp_path / "all"
-        d.mkdir(exist_ok=True)
-        for f in os.listdir(tmp_path / f"in/b{i}"):
-            if f.endswith(".parquet"):
-                os.rename(tmp_path / f"in/b{i}/{f}", d / f"b{i}.parquet")
-        now = time.time() + i
-        os.utime(d / f"b{i}.parquet", (now, now))
-    stream = spark.readStream.schema("id string, t timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "all"))
-    slots = feeds.kslack(stream, id="id", event_time="t", bound="100 seconds")
-    q = slots.writeStream.foreachBatch(lambda df, _: out.extend(df.collect())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    base = int(at(0).replace(tzinfo=dt.timezone.utc).timestamp() // 60)
-    final = {r.slot - base: r for r in out if r.version == "final"}
-    assert final[0].events == 3 and (final[0].first_id, final[0].last_id) == ("e1", "e2") and final[0].gap == 10_000_000
-    assert final[1].events == 1
-    provisional = [r.events for r in out if r.version == "provisional" and r.slot == base]
-    assert provisional == [2, 3]
+        spark.createDataFrame(b, schema).coalesce(1).write.parquet(str(folder / f"b{i}"))
+        (made,) = [f for f in (folder / f"b{i}").iterdir() if f.suffix == ".parquet"]
+        (folder / "all").mkdir(exist_ok=True)
+        made.rename(folder / "all" / f"b{i}.parquet")
+        os.utime(folder / "all" / f"b{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder / "all"))
+
+
+def test_kept_state_waits_for_its_watermark(spark, tmp_path):
+    schema = "k string, n long, id string, op string, size int"
+    feed = changes.Feed(key=["k"], order=["n", "id"], deletes="op = 'd'", transaction=["n"], declared="size", sequence="n")
+    batches = [[("a", 2, "2", "i", 1), ("b", 1, "1", "i", 2)], [("c", 1, "9", "i", 2)], [("d", 4, "4", "i", 1), ("a", 2, "2", "i", 1)], [("a", 3, "3", "d", 1)]]
+    wants = [[], ["a", "b", "c"], ["a", "b", "c"], ["b", "c", "d"]]
+    for i, want in enumerate(wants):
+        store = Store(spark, str(tmp_path / f"store{i}"))
+        feeds.replayed_state(drained(spark, tmp_path / f"in{i}", batches[: i + 1], schema), store, "s", feed, [], str(tmp_path / f"c{i}"), buckets=4).awaitTermination()
+        assert sorted(r.k for r in store.read("s").where("NOT deleted").collect()) == want
+    assert store.note("s") == {"watermark": 4} and store.read("s_held").count() == 0
+    feeds.replayed_state(drained(spark, tmp_path / "again", batches, schema), store, "s", feed, [], str(tmp_path / "c_again"), buckets=4).awaitTermination()
+    assert sorted(r.k for r in store.read("s").where("NOT deleted").collect()) == wants[-1]
+
+
+def test_store_survives_a_writer_that_died(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for n in (1, 2, 3, 4):
+        store.replace("x", spark.range(n))
+    folder = tmp_path / "x"
+    assert len(list((folder / "_manifests").glob("*.json"))) == 2 and len(list(folder.glob("v-*"))) == 2
+    (folder / "_manifests" / "000000000005.json").write_text('{"parts": {"v')
+    assert store.read("x").count() == 4
+    store.replace("x", spark.range(9))
+    assert store.read("x").count() == 9
+
+
+def test_kslack_equals_the_batch_form(spark, tmp_path):
+    rng = random.Random(4)
+    t0 = dt.datetime(2026, 1, 1)
+    rows = []
+    for i in range(300):
+        t = t0 + dt.timedelta(seconds=rng.choice([rng.randint(0, 3 * 86_400), 5_000]))
+        for _ in range(rng.choice([1, 1, 2])):
+            rows.append((f"e{i}", t, t + dt.timedelta(hours=rng.choice([0, 5, 20, 30, 40, 60, 90]))))
+    rows.sort(key=lambda r: r[2])
+    rows.append((None, t0, t0))
+    schema = "id string, t timestamp_ntz, a timestamp_ntz"
+    closed = lateness.closings(spark.createDataFrame([(dt.date(2026, 1, d), dt.datetime(2026, 1, d + 1, 2)) for d in (1, 2)], "d date, at timestamp_ntz"), period="d", closed_at="at")
+    want = lateness.ordered_values(lateness.buffered(lateness.first_arrivals(spark.createDataFrame(rows, schema), id="id", event_time="t", arrival="a"), closed, 24)).collect()
+    out = [tuple(r) for r in want]
+    assert len(out) == 2 and all(r.too_late > 0 and r.provisional_events < r.final_events for r in want)
+    for name, batches in (("one", [rows]), ("many", [rows[i : i + 80] for i in range(0, len(rows), 80)])):
+        stream = drained(spark, tmp_path / name, batches, schema)
+        slots = feeds.kslack(stream, closed, id="id", event_time="t", arrival="a", bound_hours=24, delay="2 hours", slot_seconds=7200, lanes=2)
+        feeds.log_batches(slots, str(tmp_path / f"log-{name}"), str(tmp_path / f"c-{name}")).awaitTermination()
+        assert sorted(map(tuple, feeds.slack_values(spark, str(tmp_path / f"log-{name}")).collect())) == sorted(out)
+        assert spark.read.parquet(str(tmp_path / f"log-{name}")).where("released AND version = 'final'").count() > 0
