@@ -1,9 +1,10 @@
 """Rounds of a sequential reduction that runs in parallel lanes and merges what each lane leaves over.
 
-Rows spread over lanes by a hash, so one source or document with a third of all rows is spread too.
-A lane is processed in a fixed order of hashes; its result therefore depends only on its rows, not on
-task retries or shuffle order. Each round is written to the shared folder; rows that a round leaves
-open go into fewer lanes, until one lane finishes them.
+Rows of a group spread over the group's lanes by a hash, so one source or document with a third of
+all rows is spread too. A lane is processed in a fixed order of hashes; its result therefore depends
+only on its rows, not on task retries or shuffle order. Each round is written to the shared folder;
+what a round leaves open goes into fewer lanes, until one lane of each group finishes it. A lane
+holds about ``per_lane`` rows in every round, the last one too.
 """
 
 from __future__ import annotations
@@ -17,19 +18,32 @@ from pyspark.sql import functions as F
 from reckon.operators.scale import materialize
 
 #: What a lane gives: takes the round's number, the lane, the group's value and its rows in order (as
-#: tuples of the columns), and whether the round is the last; yields output rows.
+#: tuples of the columns), and whether it is the group's last lane; yields output rows.
 Step = Callable[[int, int, object, Iterator[tuple], bool], Iterator[tuple]]
+#: Groups up to which their numbers of lanes are read into the driver; they come from parameter tables.
+MOST_GROUPS = 10_000
 
 
 def lanes_for(rows: int, per_lane: int) -> int:
     return max(1, -(-rows // per_lane))
 
 
-def one_round(rows: DataFrame, *, group: str, hashed: list[str], first: list[str], lanes: int, round_no: int, step: Step, schema: str, last: bool, seed: int) -> DataFrame:
+def group_lanes(rows: DataFrame, group: str, per_lane: int) -> tuple[dict[object, int], int]:
+    """(lanes of each group, all rows)."""
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(MOST_GROUPS + 1).collect()
+    if len(counts) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups")
+    return {r[group]: lanes_for(r["n"], per_lane) for r in counts}, sum(r["n"] for r in counts)
+
+
+def one_round(rows: DataFrame, *, group: str, hashed: list[str], first: list[str], lanes: dict[object, int], tasks: int, round_no: int, step: Step, schema: str, least_rounds: int, seed: int) -> DataFrame:
     """Apply ``step`` to each (lane, group) of ``rows``."""
     columns = rows.columns
-    spread = rows.withColumn("_h", F.xxhash64(F.lit(seed), *hashed)).withColumn("_lane", F.pmod("_h", F.lit(lanes)).cast("int"))
-    placed = spread.repartition(lanes, "_lane").sortWithinPartitions("_lane", group, *[F.desc(c) for c in first], "_h", *hashed)
+    spark = rows.sparkSession
+    of = spark.createDataFrame([(k, n) for k, n in lanes.items()], f"_of {dict(rows.dtypes)[group]}, _lanes int")
+    spread = rows.withColumn("_h", F.xxhash64(F.lit(seed), *hashed)).join(F.broadcast(of), F.col(group).eqNullSafe(F.col("_of"))).withColumn("_lane", F.pmod("_h", F.col("_lanes")).cast("int")).drop("_of", "_lanes")
+    placed = spread.repartition(tasks, group, "_lane").sortWithinPartitions("_lane", group, *[F.desc(c) for c in first], "_h", *hashed)
+    last_of = {k: n == 1 and round_no + 1 >= least_rounds for k, n in lanes.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[str] = []
@@ -59,7 +73,7 @@ def one_round(rows: DataFrame, *, group: str, hashed: list[str], first: list[str
                     ahead = next(stream, None)
                     yield row
 
-            for out in step(round_no, lane, key, own(), last):
+            for out in step(round_no, lane, key, own(), last_of[key]):
                 buffer.append(out)
                 if len(buffer) >= 20_000:
                     yield pack()
@@ -73,23 +87,19 @@ def one_round(rows: DataFrame, *, group: str, hashed: list[str], first: list[str
     return placed.mapInArrow(run, schema)
 
 
-def reduce_in_rounds(rows: DataFrame, *, group: str, hashed: list[str], per_lane: int, fan_in: int, step: Step, schema: str, columns: list[str], first: tuple[str, ...] = (), seed: int = 17, least_rounds: int = 1) -> DataFrame:
+def reduce_in_rounds(rows: DataFrame, *, group: str, hashed: list[str], per_lane: int, step: Step, schema: str, columns: list[str], first: tuple[str, ...] = (), seed: int = 17) -> DataFrame:
     """All rows that rounds of ``step`` settle; ``schema`` must have a boolean column ``open``.
 
     ``columns``: what an open row takes into the next round. ``first``: columns whose greatest values a
-    lane takes first, before the order of hashes. Each round has at most 1 / ``fan_in`` of
-    the lanes of the round before, however many rows stay open. ``least_rounds``: rounds that are run
-    even where one lane takes all rows from the start.
+    lane takes first, before the order of hashes. A lane must leave far fewer rows open than it takes.
     """
-    count = rows.count()
-    lanes, round_no, settled, current = lanes_for(count, per_lane), 0, None, rows
+    round_no, settled, current = 0, None, rows
     while True:
-        last = lanes == 1 and round_no + 1 >= least_rounds
-        done = materialize(one_round(current, group=group, hashed=hashed, first=list(first), lanes=lanes, round_no=round_no, step=step, schema=schema, last=last, seed=seed + round_no))
+        lanes, count = group_lanes(current, group, per_lane)
+        done = materialize(one_round(current, group=group, hashed=hashed, first=list(first), lanes=lanes, tasks=lanes_for(count, per_lane), round_no=round_no, step=step, schema=schema, least_rounds=1, seed=seed + round_no))
         part = done.where("NOT open").drop("open")
         settled = part if settled is None else settled.unionByName(part)
-        if last:
+        if max(lanes.values(), default=1) == 1:
             return settled
         current = done.where("open").select(*columns)
-        lanes = max(1, min(lanes_for(current.count(), per_lane), lanes // fan_in))
         round_no += 1

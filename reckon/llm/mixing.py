@@ -132,7 +132,7 @@ def mix(documents: DataFrame, targets: DataFrame, *, id: str, source: str, size:
         return pivot(own, last, seed + round_no)
 
     fractions = each.where("p > 0").select("id", "source", "tokens", "p")
-    rounded = reduce_in_rounds(fractions, group="source", hashed=["source", "id", "tokens"], per_lane=per_lane, fan_in=64, step=step, schema=f"id {id_type}, source string, tokens long, p double, open boolean", columns=["id", "source", "tokens", "p"], first=("tokens",), seed=seed)
+    rounded = reduce_in_rounds(fractions, group="source", hashed=["source", "id", "tokens"], per_lane=per_lane, step=step, schema=f"id {id_type}, source string, tokens long, p double, open boolean", columns=["id", "source", "tokens", "p"], first=("tokens",), seed=seed)
     whole = each.where("p = 0").select("id", "source", "tokens", F.col("base").cast("long").alias("copies"))
     part = rounded.join(F.broadcast(copies), "source").select("id", "source", "tokens", (F.floor("c") + F.col("p")).cast("long").alias("copies"))
     chosen = whole.unionByName(part).where("copies > 0")

@@ -1,4 +1,9 @@
-"""Filling containers of fixed capacity: bounded-space online best fit, then a merge of leftovers."""
+"""Filling containers of fixed capacity: bounded-space online best fit, then a merge of leftovers.
+
+What a lane leaves open goes on in *bundles*: an item of at least a 64th of the capacity alone, smaller
+ones together until they reach that. A window is at most 65 bundles and a lane leaves a bounded number
+of windows, so each round has a small part of the rows of the one before, however small the items.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +13,15 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reckon.llm.lanes import reduce_in_rounds
+from reckon.llm.lanes import group_lanes, lanes_for, one_round
+from reckon.operators.scale import broadcast_if, materialize
 
 #: Windows a lane keeps open at a time.
 OPEN_WINDOWS = 32
-#: Items of one lane; also bounds what the last round holds in memory.
+#: Rows of one lane, in every round; so many at most are sorted in memory.
 PER_LANE = 100_000
+#: Part of the capacity that a bundle of small items reaches.
+BUNDLE = 64
 #: Kinds of containers up to which they are read into the driver (a parameter table).
 MOST_KINDS = 10_000
 
@@ -73,40 +81,79 @@ class Windows:
             yield self.close(no)
 
 
+def bundles(content: list[tuple], sizes: list[int], capacity: int) -> Iterator[tuple[int, tuple]]:
+    """(number of its bundle, item) of each item of a window that stays open."""
+    least, no, size = max(1, capacity // BUNDLE), 0, 0
+    for item, own in sorted(zip(content, sizes), key=lambda x: -x[1]):
+        yield no, item
+        size += own
+        if size >= least:
+            no, size = no + 1, 0
+
+
 def pack(items: DataFrame, kinds: DataFrame, *, id: str, size: str, kind: str, capacity: str, windows: int = OPEN_WINDOWS, per_lane: int = PER_LANE) -> DataFrame:
     """(container_kind, container_id, id, piece, start, size): where each piece of each item lies.
 
     In each lane a bounded number of windows is open. An item goes to the open window that it fills
     best; if none takes it and no more may open, the fullest is emitted. Windows still open at the
-    end of a lane are leftovers: their items go round again in fewer lanes, and the last lane packs
-    them by best fit with the largest first. The first round is online at every size, also in a single
-    lane; only leftovers of an earlier round are sorted. Full pieces are containers already. Repeated rows are
-    separate items; empty tables give no containers.
+    end of a lane are leftovers: their bundles go round again in fewer lanes, and the last lane of a
+    kind packs them by best fit with the largest first. The first round is online at every size, also
+    in a single lane; only leftovers of an earlier round are sorted. Full pieces are containers already.
+    Repeated rows are separate items; empty tables give no containers.
     """
     all_pieces = pieces(items, kinds, id=id, size=size, kind=kind, capacity=capacity)
-    id_type = dict(all_pieces.dtypes)["id"]
     full = all_pieces.where("size = capacity")
-    columns = ["kind", "capacity", "id", "piece", "start", "size"]
-
-    def step(round_no: int, lane: int, key: object, rows: Iterator[tuple], last: bool) -> Iterator[tuple]:
-        if last:
-            rows = iter(sorted(rows, key=lambda r: -r[5]))
-        w: Windows | None = None
-        for row in rows:
-            w = w or Windows(row[1], None if last else windows, f"{key}-{round_no}-{lane}")
-            for name, content in w.place(row, row[5]):
-                for x in content:
-                    yield (*x, name, False)
-        if w:
-            for name, content in w.rest():
-                for x in content:
-                    yield (*x, name, not last)
-
-    schema = f"kind string, capacity long, id {id_type}, piece long, start long, size long, container_id string, open boolean"
-    packed = reduce_in_rounds(all_pieces.where("size < capacity"), group="kind", hashed=["kind", "id", "piece"], per_lane=per_lane, fan_in=8, step=step, schema=schema, columns=columns, least_rounds=2)
+
+    def packer(carried: int, at_size: int):
+        """The step of a round whose rows are (kind, capacity, ...): yields their first ``carried`` columns, place and open."""
+
+        def step(round_no: int, lane: int, key: object, rows: Iterator[tuple], last: bool) -> Iterator[tuple]:
+            if last:
+                rows = iter(sorted(rows, key=lambda r: -r[at_size]))
+            w: Windows | None = None
+            for row in rows:
+                w = w or Windows(row[1], None if last else windows, f"{key}-{round_no}-{lane}")
+                for name, content in w.place(row, row[at_size]):
+                    for x in content:
+                        yield (*x[:carried], name, False)
+            for name, content in w.rest() if w else ():
+                if last:
+                    yield from ((*x[:carried], name, False) for x in content)
+                else:
+                    yield from ((*x[:carried], f"{name}-{no}", True) for no, x in bundles(content, [x[at_size] for x in content], w.capacity))
+
+        return step
+
+    before: dict[object, int] = {}
+
+    def packed(rows: DataFrame, round_no: int, hashed: list[str]) -> tuple[DataFrame, bool]:
+        """One round over rows of (kind, capacity, ..., size), written; and whether it was the last of every kind."""
+        lanes, count = group_lanes(rows, "kind", per_lane)
+        # A lane of fewer rows than its windows may hold bundles can leave all of them open; fewer lanes end that.
+        lanes = {k: min(n, max(1, before[k] // 2)) if k in before else n for k, n in lanes.items()}
+        before.update(lanes)
+        carry = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
+        step = packer(len(rows.columns), rows.columns.index("size"))
+        done = one_round(rows, group="kind", hashed=hashed, first=[], lanes=lanes, tasks=lanes_for(count, per_lane), round_no=round_no, step=step, schema=f"{carry}, place string, open boolean", least_rounds=2, seed=17 + round_no)
+        return materialize(done), round_no > 0 and max(lanes.values(), default=1) == 1
+
+    placed, _ = packed(all_pieces.where("size < capacity"), 0, ["kind", "id", "piece"])
+    rounds, last, now = [], False, placed
+    while not last:
+        left = now.where("open").groupBy("kind", "capacity", F.col("place").alias("unit")).agg(F.sum("size").alias("size"))
+        now, last = packed(left, len(rounds) + 1, ["kind", "unit"])
+        rounds.append(now)
+    # Where the bundles of each round end up, from the last round back to the first.
+    ends = rounds[-1].select("unit", "place")
+    for r in reversed(rounds[:-1]):
+        on = r.where("open").select("unit", F.col("place").alias("next")).join(broadcast_if(ends.withColumnRenamed("unit", "next")), "next")
+        ends = r.where("NOT open").select("unit", "place").unionByName(on.select("unit", "place"))
+    columns = ["kind", "id", "piece", "start", "size"]
+    moved = placed.where("open").select(*columns, F.col("place").alias("unit")).join(broadcast_if(ends), "unit").select(*columns, F.col("place").alias("container_id"))
+    settled = placed.where("NOT open").select(*columns, F.col("place").alias("container_id"))
     # Rows that repeat an item share its id and piece, so a full piece's container needs a number of its own.
-    own = full.withColumn("container_id", F.concat_ws("-", "kind", F.lit("full"), F.hex(F.monotonically_increasing_id())))
-    return own.unionByName(packed).select(F.col("kind").alias("container_kind"), "container_id", F.col("id").alias(id), "piece", "start", "size")
+    own = full.select(*columns, F.concat_ws("-", "kind", F.lit("full"), F.hex(F.monotonically_increasing_id())).alias("container_id"))
+    return own.unionByName(settled).unionByName(moved).select(F.col("kind").alias("container_kind"), "container_id", F.col("id").alias(id), "piece", "start", "size")
 
 
 def fill(packed: DataFrame, kinds: DataFrame, *, kind: str, capacity: str) -> DataFrame:

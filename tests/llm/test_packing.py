@@ -74,6 +74,36 @@ def test_a_single_lane_is_packed_online_first(spark):
     assert rounds.count("0") > rounds.count("1") > 0 and rounds.count("1") <= 5
 
 
+def test_tiny_items_never_fill_a_lane(spark, monkeypatch):
+    seen = []
+    real = packing.group_lanes
+
+    def counted(rows, group, per_lane):
+        lanes, n = real(rows, group, per_lane)
+        seen.append((max(lanes.values(), default=0), n))
+        return lanes, n
+
+    monkeypatch.setattr(packing, "group_lanes", counted)
+    items = [(f"d{i}", 1) for i in range(60_000)]
+    rows = run(spark, items, [("huge", 1_000_000)], per_lane=5_000)
+    assert len({r.container_id for r in rows}) == 1 and len(rows) == 60_000 and len({r.doc for r in rows}) == 60_000
+    # Twelve lanes of one open window each: after the first round only its bundles go on.
+    assert seen[0] == (12, 60_000) and seen[1][1] <= 12 * 2 and seen[-1][0] == 1
+
+
+def test_bundles_are_few_and_large_enough():
+    rng = random.Random(8)
+    for capacity in (1, 10, 640, 131_072):
+        sizes = []
+        while len(sizes) < 5000 and sum(sizes) < capacity:
+            sizes.append(min(rng.choice([1, 1, 2, max(1, capacity // 50)]), capacity - sum(sizes)))
+        got = defaultdict(int)
+        for no, item in packing.bundles(list(range(len(sizes))), sizes, capacity):
+            got[no] += sizes[item]
+        assert sum(got.values()) == sum(sizes) and len(got) <= packing.BUNDLE + 1
+        assert sum(v < max(1, capacity // packing.BUNDLE) for v in got.values()) <= 1
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [("a", 10)]) == []
     assert run(spark, [("d", 3)], []) == []
