@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -21,6 +22,27 @@ def blanked(payload: str, keys: Sequence[str]) -> Column:
     return F.regexp_replace(payload, rf'("(?:{names})"\s*:\s*)"(?:[^"\\]|\\.)*"', '$1""')
 
 
+#: What account ids and receipt links become (fixed values).
+ACCOUNT, RECEIPT = "acct_00000000000000", "https://example.invalid/receipts/redacted"
+
+
+def test_mode(payload: str) -> Column:
+    """The payload; one of live mode stops the run, because nothing of it may be stored."""
+    return F.when(is_live(payload), F.raise_error(F.lit("a payload of live mode is refused"))).otherwise(F.col(payload))
+
+
+def redacted(payload: str, keys: Sequence[str]) -> Column:
+    """The payload, refused if live, without personal values, account ids and receipt links. Nothing else changes."""
+    guarded = F.when(is_live(payload), F.raise_error(F.lit("a payload of live mode is refused"))).otherwise(blanked(payload, keys))
+    linkless = F.regexp_replace(guarded, r'https?://[^"\\\s/]+/receipts/[^"\\\s]*', RECEIPT)
+    return F.regexp_replace(linkless, r"\bacct_[A-Za-z0-9]+", ACCOUNT)
+
+
+def masked(text: str) -> str:
+    """The text with every credential cut to its prefix."""
+    return re.sub(r"\b(sk|rk|pk)_(?:live|test)_[A-Za-z0-9]+|\b(whsec)_[A-Za-z0-9_-]+", lambda m: f"{m[1] or m[2]}_***", text)
+
+
 def signed(body: bytes, header: str, secrets: Sequence[str], now: int, tolerance: int = 300) -> bool:
     """Whether ``t=...,v1=...`` signs the raw bytes with one of the secrets, not too long ago.
 

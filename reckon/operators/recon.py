@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from reckon.operators.scale import broadcast_if
 from reckon.schemas import ANNOUNCED
 
+# The two kinds of coverage gaps.
+UNANNOUNCED = "source_missing_from_the_stream"
+UNLISTED = "transaction_missing_from_the_list"
+
 
 def unposted_net(movements: DataFrame, posted: DataFrame) -> DataFrame:
     """(close_date, currency, net) of movements without any posting, by their day of creation."""
@@ -65,8 +69,8 @@ def coverage_gaps(movements: DataFrame, events: DataFrame, expanded: DataFrame)
     listed = movements.where(F.col("reporting_category").isin(ANNOUNCED))
     named = events.where(F.col("entity_type").isin("charge", "refund", "dispute") & F.col("entity_id").isNotNull()).select(F.col("entity_id").alias("source_id")).distinct()
     cols = lambda df, finding: df.select(F.lit(finding).alias("finding"), "balance_transaction_id", "source_id", "reporting_category", "net", "currency", F.to_date("created").alias("noticed_on"))
-    unannounced = cols(listed.join(named, "source_id", "left_anti"), "source_missing_from_the_stream")
-    unlisted = cols(expanded.join(listed.select("balance_transaction_id").distinct(), "balance_transaction_id", "left_anti"), "transaction_missing_from_the_list")
+    unannounced = cols(listed.join(named, "source_id", "left_anti"), UNANNOUNCED)
+    unlisted = cols(expanded.join(listed.select("balance_transaction_id").distinct(), "balance_transaction_id", "left_anti"), UNLISTED)
     return unannounced.unionByName(unlisted)
 
 

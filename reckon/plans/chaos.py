@@ -114,50 +114,77 @@ ARMS: dict[str, Callable[..., list[Wave]]] = {
     f.__name__: f for f in (baseline, duplicate_delivery, out_of_order, dropped_event, late_arrival, rounding_drift, reversal_dropped, unreported_transaction)
 }
 
-#: What each arm must make fail; a number of rows where it is known, else None for any. Fixed values.
-MUST_FAIL: dict[str, dict[str, int | None]] = {
+def injected(arm: str, before: Wave, waves: list[Wave]) -> dict[str, int]:
+    """What an arm damaged, counted by comparing its waves with the undamaged one, apart from what any check finds."""
+    key, last = "balance_transaction_id", waves[-1]
+    if arm == "dropped_event":
+        named = last.events.select(F.get_json_object("line", "$.data.object.id").alias("source_id")).distinct()
+        return {"lost_events": before.events.count() - last.events.count(), "blinded_transactions": before.movements.join(named, "source_id", "left_anti").count()}
+    if arm == "rounding_drift":
+        was = before.movements.select(key, F.col("net").alias("was"))
+        return {"drifted_transactions": last.movements.join(was, key).where("net <> was").count()}
+    if arm == "reversal_dropped":
+        return {"lost_reversals": before.movements.join(last.movements.select(key), key, "left_anti").count()}
+    if arm == "unreported_transaction":
+        return {"phantom_transactions": last.movements.join(before.movements.select(key), key, "left_anti").count()}
+    if arm == "duplicate_delivery":
+        return {"redelivered_events": last.events.count() - before.events.count()}
+    if arm == "late_arrival":
+        return {"late_transactions": before.movements.join(waves[0].movements.select(key), key, "left_anti").count(), "held_events": last.events.count()}
+    return {}
+
+
+#: What each arm must make fail, and on how many rows: a count of what was injected, or None for any. Fixed values.
+MUST_FAIL: dict[str, dict[str, str | None]] = {
     "baseline": {},
     "duplicate_delivery": {},
     "out_of_order": {},
     "late_arrival": {},
-    "dropped_event": {"stream_complete": None},
-    "rounding_drift": {"entries_balance": None},
-    "reversal_dropped": {"nothing_unexplained": None, "list_complete": None},
+    "dropped_event": {"stream_complete": "blinded_transactions"},
+    "rounding_drift": {"entries_balance": "drifted_transactions"},
+    "reversal_dropped": {"nothing_unexplained": None, "list_complete": "lost_reversals"},
     "unreported_transaction": {"nothing_unexplained": None},
 }
 
-#: How the measurements of an arm compare with the baseline's: =, < or >; 0 and >0 by themselves; null for a table never published.
+#: How an arm's measurements must compare: a sign, then a number, another measurement of the arm, ``null``
+#: for a table never published, or nothing for the same measurement of the baseline. Fixed values.
 MUST_MEASURE: dict[str, dict[str, str]] = {
-    "baseline": {"gold_trial_balance": "0", "gold_reconciliation_breaks": "0", "gold_coverage_gaps": "0"},
-    "duplicate_delivery": {"bronze_deliveries": ">", "silver_events": "=", "gold_postings": "=", "gold_available": "="},
-    "out_of_order": {"silver_events": "=", "silver_charges": "=", "charges_created_checksum": "=", "gold_available": "="},
-    "dropped_event": {"silver_events": "<", "silver_charges": "<", "gold_postings": "=", "gold_reconciliation_breaks": "0", "gold_coverage_gaps": ">0"},
-    "late_arrival": {"silver_events": "=", "gold_postings": "=", "gold_restatements": ">0", "gold_coverage_gaps": "0"},
-    "rounding_drift": {"gold_postings": "=", "gold_close_rows": "null", "gold_reconciliation_breaks": "null"},
-    "reversal_dropped": {"gold_postings": "<", "gold_reconciliation_breaks": ">0", "gold_coverage_gaps": ">0"},
-    "unreported_transaction": {"gold_postings": ">", "gold_trial_balance": "0", "gold_coverage_gaps": "0", "gold_reconciliation_breaks": ">0"},
-}
+    "baseline": {"silver_events": "=bronze_events", "gold_trial_balance": "=0", "gold_reconciliation_breaks": "=0", "gold_coverage_gaps": "=0", "gold_closes": "=1", "gold_restatements": "=0"},
+    "duplicate_delivery": {"bronze_deliveries": ">bronze_events", "silver_events": "=", "gold_postings": "=", "gold_available": "=", "gold_reconciliation_breaks": "=0"},
+    "out_of_order": {"silver_events": "=", "silver_charges": "=", "charges_created_checksum": "=", "gold_available": "=", "gold_reconciliation_breaks": "=0"},
+    "dropped_event": {"silver_events": "<", "silver_charges": "<", "gold_postings": "=", "gold_reconciliation_breaks": "=0", "gold_coverage_gaps": ">0"},
+    "late_arrival": {
+        "silver_events": "=", "charges_created_checksum": "=", "gold_postings": "=", "gold_available": "=", "gold_reconciliation_breaks": "=0", "gold_coverage_gaps": "=0", "gold_closes": "=2", "gold_restatements": ">0",
+    },
+    "rounding_drift": {"gold_postings": "=", "gold_close_rows": "=null", "gold_reconciliation_breaks": "=null"},
+    "reversal_dropped": {"silver_events": "=", "gold_postings": "<", "gold_reconciliation_breaks": ">0", "gold_coverage_gaps": ">0"},
+    "unreported_transaction": {"silver_events": "=", "gold_postings": ">", "gold_trial_balance": "=0", "gold_coverage_gaps": "=0", "gold_reconciliation_breaks": ">0"},
+}
+
+
+def expected(arm: str, counts: dict[str, int]) -> dict[str, int | None]:
+    """The checks that must fail, with the number of rows that the injection says."""
+    return {check: None if count is None else counts[count] for check, count in MUST_FAIL[arm].items()}
 
 
 def verdict(failed: dict[str, int], must_fail: dict[str, int | None], measured: dict[str, int | None], must_measure: dict[str, str], base: dict[str, int | None] | None = None) -> list[str]:
     """What speaks against an arm; an empty list is a pass.
 
-    Strict both ways: a declared check that passes and an undeclared one that fails both count. A
-    measurement that is missing equals only the declaration that it is.
+    Strict both ways: a declared check that passes and an undeclared one that fails both count, and so
+    does one that fails on another number of rows. A measurement that is missing equals only another
+    that is.
     """
     against = [f"{c} should have failed" for c in must_fail if c not in failed]
     against += [f"{c} failed on {n} rows, not declared" for c, n in failed.items() if c not in must_fail]
     against += [f"{c} failed on {failed[c]} rows, declared {n}" for c, n in must_fail.items() if n is not None and c in failed and failed[c] != n]
     for name, rule in must_measure.items():
-        got, was = measured.get(name), (base or {}).get(name)
-        if rule == "null":
-            ok = got is None
-        elif rule in ("0", ">0"):
-            ok = got is not None and (got == 0 if rule == "0" else got > 0)
-        elif rule == "=":
-            ok = got == was
+        sign, to = rule[0], rule[1:]
+        want = None if to == "null" else (base or {}).get(name) if not to else int(to) if to.isdigit() else measured.get(to)
+        got = measured.get(name)
+        if got is None or want is None:
+            ok = sign == "=" and got is want
         else:
-            ok = got is not None and was is not None and (got < was if rule == "<" else got > was)
+            ok = got == want if sign == "=" else got < want if sign == "<" else got > want
         if not ok:
-            against.append(f"{name} is {got}, baseline {was}, declared {rule}")
+            against.append(f"{name} is {got}, declared {rule}, which is {sign} {want}")
     return against

@@ -141,3 +141,18 @@ def reported(moved: DataFrame) -> DataFrame:
         SELECT d.day AS as_of_date, d.currency, sum(coalesce(s.p, 0L)) OVER w AS pending, sum(coalesce(s.a, 0L)) OVER w AS available
         FROM days d LEFT JOIN steps s ON s.currency = d.currency AND s.day = d.day
         WINDOW w AS (PARTITION BY d.currency ORDER BY d.day ROWS UNBOUNDED PRECEDING)""")
+
+
+def balance_lines(run: Run, balances: DataFrame) -> DataFrame:
+    """(position, line): a ``balance.available`` event for each reported row, at the midnight its day begins."""
+    at = F.unix_timestamp(F.col("as_of_date").cast("timestamp"))
+    of = lambda c: F.array(F.struct(F.col(c).alias("amount"), F.col("currency").alias("currency"), F.struct(F.col(c).alias("card")).alias("source_types")))
+    no = F.concat(F.lit("bal_"), F.date_format("as_of_date", "yyyyMMdd"), F.col("currency"))
+    obj = F.struct(F.lit("balance").alias("object"), of("available").alias("available"), of("pending").alias("pending"), F.lit(False).alias("livemode"))
+    body = F.struct(F.concat(F.lit("evt_"), no).alias("id"), F.lit("event").alias("object"), F.lit("balance.available").alias("type"), at.alias("created"), F.lit(False).alias("livemode"), F.lit("simulated").alias("api_version"), F.struct(F.concat(F.lit("req_"), no).alias("id")).alias("request"), F.struct(obj.alias("object")).alias("data"))
+    return balances.select((at + F.pmod(F.xxhash64(F.lit(run.seed), no), F.lit(4_000_037)) / 4_000_037.0).alias("position"), F.to_json(body).alias("line"))
+
+
+def stream_lines(spark: SparkSession, run: Run, balances: DataFrame) -> DataFrame:
+    """(position, line): the whole stream of a run, four events a charge, refund and dispute and one a reported row."""
+    return event_lines(spark, run).unionByName(balance_lines(run, balances))

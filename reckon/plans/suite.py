@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckon.operators import close, entities, events, upsert
-from reckon.operators.scale import materialize
+from reckon.operators import entities, events, upsert
+from reckon.operators.scale import materialize, scratch
 from reckon.plans import chaos, simulate
-from reckon.plans.build import Result, build, log_close
+from reckon.plans.build import Result, build, run_sources
 from reckon.plans.report import Frames, measure
 
 PARTITIONS = 12
@@ -38,29 +40,53 @@ def run_waves(spark: SparkSession, waves: list[chaos.Wave], run_id: str, began:
         listed = materialize(incoming if listed is None else upsert.refresh_list(listed, incoming))
         silver = materialize(events.collapse(events.typed(bronze)))
         payloads = silver.select("event_id", "payload")
-        sources: Frames = {"list": listed, "reported": wave.reported, "events": silver, "expanded": materialize(entities.expanded_movements(silver, payloads))}
-        result = build(sources, f"{run_id}-{i}", keep=lambda _, df: materialize(df))
-        rows = log_close(result, at + timedelta(hours=1))
-        if rows is not None:
-            log = materialize(rows if log is None else log.unionByName(rows))
+        made: Frames = {"list": listed, "reported": wave.reported, "events": silver, "expanded": materialize(entities.expanded_movements(silver, payloads))}
+        name = f"{run_id}-{i}"
+        result = build({**made, **run_sources(spark, name, at + timedelta(hours=1), log)}, name, keep=lambda _, df: materialize(df))
+        log = result.frames.get("close_log", log)
         frames = {**result.frames, "bronze": bronze, "charges": entities.charges(silver), "refunds": entities.refunds(silver), "disputes": entities.disputes(silver)}
         if log is not None:
-            frames |= {"close_log": log, "restatements": materialize(close.restatements(log, listed))}
+            frames["close_log"] = log
     return result, frames
 
 
-def judge(spark: SparkSession, run: simulate.Run, arms: list[str] | None = None, began: datetime = datetime(2026, 9, 1)) -> dict[str, list[str]]:
-    """What speaks against each arm, baseline first; an arm without a result is an error, not a failure."""
-    moved = materialize(simulate.movements(spark, run))
-    wave = chaos.Wave(materialize(simulate.event_lines(spark, run)), moved, materialize(simulate.reported(moved)))
-    out: dict[str, list[str]] = {}
+@dataclass
+class Verdict:
+    """An arm's outcome: what speaks against it, what was injected, its measurements, and the run it damaged."""
+
+    against: list[str]
+    injected: dict[str, int]
+    measured: dict[str, int | None]
+    source_run: dict[str, Any]
+
+    def document(self, arm: str) -> dict[str, Any]:
+        """The arm as the export takes it."""
+        return {"arm": arm, "as_described": not self.against, "against": self.against, "injected": self.injected, "measured": self.measured, "source_run": self.source_run}
+
+
+def judge_waves(spark: SparkSession, wave: chaos.Wave, source_run: dict[str, Any], arms: list[str] | None = None, began: datetime = datetime(2026, 9, 1), seed: int = 1) -> dict[str, Verdict]:
+    """The verdict on each arm, baseline first; an arm without a result is an error, not a failure.
+
+    Each arm runs apart: its tables live in a scratch folder of its own, which goes once it is judged.
+    """
+    out: dict[str, Verdict] = {}
     base: dict[str, int | None] | None = None
     for arm in ["baseline", *[a for a in (arms or chaos.ARMS) if a != "baseline"]]:
-        waves = chaos.ARMS[arm](wave, run.seed)
-        if arm == "late_arrival":
-            waves[0] = chaos.Wave(waves[0].events, waves[0].movements, materialize(simulate.reported(waves[0].movements)))
-        result, frames = run_waves(spark, waves, arm, began)
-        got = measure(frames)
-        base = base or got
-        out[arm] = chaos.verdict(result.failed, chaos.MUST_FAIL[arm], got, chaos.MUST_MEASURE[arm], base)
+        with scratch(spark):
+            waves = chaos.ARMS[arm](wave, seed)
+            if arm == "late_arrival":
+                waves[0] = chaos.Wave(waves[0].events, waves[0].movements, materialize(simulate.reported(waves[0].movements)))
+            counts = chaos.injected(arm, wave, waves)
+            result, frames = run_waves(spark, waves, arm, began)
+            got = measure(frames)
+            base = base or got
+            out[arm] = Verdict(chaos.verdict(result.failed, chaos.expected(arm, counts), got, chaos.MUST_MEASURE[arm], base), counts, got, source_run)
     return out
+
+
+def judge(spark: SparkSession, run: simulate.Run, arms: list[str] | None = None, began: datetime = datetime(2026, 9, 1)) -> dict[str, Verdict]:
+    """``judge_waves`` over a simulated run."""
+    moved = materialize(simulate.movements(spark, run))
+    balances = materialize(simulate.reported(moved))
+    wave = chaos.Wave(materialize(simulate.stream_lines(spark, run, balances)), moved, balances)
+    return judge_waves(spark, wave, {"charges": run.charges, "seed": run.seed, "days": run.days}, arms, began, run.seed)

@@ -36,6 +36,24 @@ SILVER_EVENTS = (
     "deliveries int, first_seen_at timestamp, last_seen_at timestamp"
 )
 
+MOVEMENT_LIST = (
+    "balance_transaction_id string, source_id string, type string, reporting_category string, amount bigint, fee bigint, net bigint, currency string, "
+    f"created timestamp, available_on timestamp, status string, description string, fee_details {FEE_DETAILS}, payload string, loaded_at timestamp"
+)
+
+REPORTED_BALANCE = "as_of_date date, currency string, pending bigint, available bigint, payload string"
+
+CLOSE_LOG = "run_id string, closed_at timestamp, close_date date, currency string, balance_pending bigint, balance_available bigint, gross_sales bigint, refunds bigint, processing_fees bigint, disputes bigint"
+
+#: Stored tables: columns, and the time column and unit that each is partitioned by.
+TABLES: dict[str, tuple[str, str, str]] = {
+    "bronze_events": (BRONZE_EVENTS, "ingested_at", "day"),
+    "silver_events": (SILVER_EVENTS, "created", "day"),
+    "balance_transaction_list": (MOVEMENT_LIST, "created", "day"),
+    "reported_balance": (REPORTED_BALANCE, "as_of_date", "month"),
+    "daily_close_log": (CLOSE_LOG, "closed_at", "month"),
+}
+
 LIST_COLUMNS = ["balance_transaction_id", "source_id", "type", "reporting_category", "amount", "fee", "net", "currency", "created", "available_on", "status", "description", "fee_details", "payload", "loaded_at"]
 
 # Account names of the ledger.
