@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from reckon.functions import money
 from reckon.operators import checks, close, entities, events, ledger, recon, upsert
-from reckon.operators.scale import shared_folder
-from reckon.plans import report
-from reckon.schemas import ACCOUNTS, CATEGORIES, LIST_COLUMNS
+from reckon.operators.scale import broadcast_if, materialize, scratch_folder
+from reckon.plans import build, report
+from reckon.schemas import LIST_COLUMNS
 from reckon.sources import landing
 from reckon.sources.tables import table
 from reckon.streaming import feeds
@@ -60,8 +61,24 @@ def close_log_latest_two(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def restatements(spark: SparkSession, sf: str) -> DataFrame:
-    out = close.restatements(T(spark, sf, "daily_close_log"), _list(spark, sf))
-    return out.withColumn("caused_by", F.concat_ws(",", "caused_by"))
+    """What each closing run restated of the run before."""
+    return close.restatements(T(spark, sf, "daily_close_log"), _list(spark, sf), all_runs=True)
+
+
+def restatement_causes(spark: SparkSession, sf: str) -> DataFrame:
+    """The late movements on the days that runs restated, a row each."""
+    log, listed = T(spark, sf, "daily_close_log"), _list(spark, sf)
+    return close.restatement_causes(close.restatements(log, listed, all_runs=True), log, listed, all_runs=True)
+
+
+def _lost(df: DataFrame, column: str) -> DataFrame:
+    """A damaged table: about a sixteenth of what the column names is lost, as the digest of the name decides."""
+    return df.where(F.col(column).isNull() | ~F.md5(column).startswith("0"))
+
+
+def _both(as_they_are: DataFrame, damaged: DataFrame) -> DataFrame:
+    """A finding over the tables as they are and over damaged ones, which it must show."""
+    return as_they_are.withColumn("tables", F.lit("as they are")).unionByName(damaged.withColumn("tables", F.lit("damaged")))
 
 
 def _weighed(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,7 +94,13 @@ def reconciliation_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unposted_net(spark: SparkSession, sf: str) -> DataFrame:
-    return recon.unposted_net(_list(spark, sf), _posted(spark, sf))
+    return _both(recon.unposted_net(_list(spark, sf), _posted(spark, sf)), recon.unposted_net(_list(spark, sf), _lost(_posted(spark, sf), "balance_transaction_id")))
+
+
+def reconciliation_after_loss(spark: SparkSession, sf: str) -> DataFrame:
+    """The reconciliation where postings of some movements are lost: their net explains the gap they leave."""
+    posted = _lost(_posted(spark, sf), "balance_transaction_id")
+    return recon.reconciliation(T(spark, sf, "daily_close"), T(spark, sf, "reported_balance"), _list(spark, sf), posted)
 
 
 def typed_deliveries(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,8 +142,10 @@ def disputes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _expanded(spark: SparkSession, sf: str) -> DataFrame:
-    about = _bronze(spark, sf).where(F.col("event_type").startswith("charge.dispute."))
-    payloads = events.collapse(about.select("event_id", "payload", *events.COORDINATE, "kafka_timestamp")).select("event_id", "payload")
+    # Of the payloads only those of each dispute's last event are looked at, whatever their type.
+    last = broadcast_if(entities.latest(_silver(spark, sf), "dispute", []).select("event_id"))
+    about = _bronze(spark, sf).select("event_id", "payload", *events.COORDINATE, "kafka_timestamp").join(last, "event_id", "left_semi")
+    payloads = events.collapse(about).select("event_id", "payload")
     return entities.expanded_movements(_silver(spark, sf), payloads)
 
 
@@ -130,7 +155,9 @@ def expanded_movements(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def coverage_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return recon.coverage_gaps(_list(spark, sf), _silver(spark, sf), _expanded(spark, sf))
+    expanded = materialize(_expanded(spark, sf))
+    listed, silver = _list(spark, sf), _silver(spark, sf)
+    return _both(recon.coverage_gaps(listed, silver, expanded), recon.coverage_gaps(_lost(listed, "balance_transaction_id"), _lost(silver, "entity_id"), expanded))
 
 
 def cross_check_agreement(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,11 +220,13 @@ def entries_balance_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def every_movement_posted_check(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.every_movement_posted(_list(spark, sf), _posted(spark, sf))
+    listed, posted = _list(spark, sf), _posted(spark, sf)
+    return _both(checks.every_movement_posted(listed, posted), checks.every_movement_posted(listed, _lost(posted, "balance_transaction_id")))
 
 
 def available_explained_check(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.available_explained(T(spark, sf, "daily_close"))
+    closed = T(spark, sf, "daily_close")
+    return _both(checks.available_explained(closed), checks.available_explained(closed.withColumn("balance_available", -F.abs("balance_available") - 1)))
 
 
 def unexplained_difference_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,7 +238,9 @@ def same_days_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def close_uniqueness_check(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.unique(T(spark, sf, "daily_close_log"), ["close_date", "currency"])
+    closed = T(spark, sf, "daily_close")
+    twice = closed.unionByName(closed.where(F.dayofmonth("close_date") % 2 == 0))
+    return _both(*[checks.unique(c, ["close_date", "currency"]) for c in (closed, twice)])
 
 
 def one_source_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,32 +252,39 @@ def flow_conservation_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def restatement_explained_check(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.restatement_explained(close.restatements(T(spark, sf, "daily_close_log"), _list(spark, sf)))
+    return checks.restatement_explained(restatements(spark, sf))
 
 
 def list_complete_check(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.gaps_of(coverage_gaps(spark, sf), "transaction_missing_from_the_list")
+    return checks.gaps_of(coverage_gaps(spark, sf), recon.UNLISTED)
 
 
 def stream_complete_check(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.gaps_of(coverage_gaps(spark, sf), "source_missing_from_the_stream")
-
+    return checks.gaps_of(coverage_gaps(spark, sf), recon.UNANNOUNCED)
 
-def posting_column_checks(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.columns(_posted(spark, sf), not_null=["posting_id", "entry_id", "account", "amount", "currency", "posted_on"], unique_columns=["posting_id"], accepted={"account": ACCOUNTS, "entry_type": ["recognition", "availability"]})
 
-
-def list_column_checks(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.columns(_list(spark, sf), not_null=["balance_transaction_id", "reporting_category", "net", "currency"], unique_columns=["balance_transaction_id"], accepted={"reporting_category": CATEGORIES})
+def column_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every column check of the build over the domain tables and what is made of them: (dataset, check, column_name, violations)."""
+    log, listed, posted = T(spark, sf, "daily_close_log"), _list(spark, sf), _posted(spark, sf)
+    silver, expanded = _silver(spark, sf), materialize(_expanded(spark, sf))
+    weighed = materialize(_weighed(spark, sf))
+    frames = {
+        "list": listed, "reported": T(spark, sf, "reported_balance"), "expanded": expanded, "postings": posted, "balances": ledger.trial_balance(posted), "daily_close": T(spark, sf, "daily_close"),
+        "reconciliation": weighed, "money_flow": ledger.flow(posted), "close_log": log, "restatements": close.restatements(log, listed, all_runs=True),
+        "coverage_gaps": recon.coverage_gaps(listed, silver, expanded), "reconciliation_items": recon.items(weighed, listed, posted),
+    }
+    found = [build.column_check(name)(df).withColumn("dataset", F.lit(name)) for name, df in frames.items()]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def measurement_report(spark: SparkSession, sf: str) -> DataFrame:
     """All measurements over the domain tables."""
+    expanded, weighed = materialize(_expanded(spark, sf)), materialize(_weighed(spark, sf))
     silver, listed, log = _silver(spark, sf), _list(spark, sf), T(spark, sf, "daily_close_log")
     frames = {
         "bronze": _bronze(spark, sf), "events": silver, "charges": entities.charges(silver), "refunds": entities.refunds(silver), "disputes": entities.disputes(silver),
-        "expanded": _expanded(spark, sf), "list": listed, "reported": T(spark, sf, "reported_balance"), "postings": _posted(spark, sf), "daily_close": T(spark, sf, "daily_close"),
-        "reconciliation": _weighed(spark, sf), "reconciliation_items": reconciliation_items(spark, sf), "coverage_gaps": coverage_gaps(spark, sf),
+        "expanded": expanded, "list": listed, "reported": T(spark, sf, "reported_balance"), "postings": _posted(spark, sf), "daily_close": T(spark, sf, "daily_close"),
+        "reconciliation": weighed, "reconciliation_items": recon.items(weighed, listed, _posted(spark, sf)), "coverage_gaps": recon.coverage_gaps(listed, silver, expanded),
         "restatements": close.restatements(log, listed), "close_log": log,
     }
     return report.measurements(frames)
@@ -255,7 +293,7 @@ def measurement_report(spark: SparkSession, sf: str) -> DataFrame:
 def streaming_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The deliveries streamed into a replay-safe log, and the event table as a function of that log."""
     cols = ["event_id", "event_type", "created", "livemode", *events.COORDINATE, "kafka_timestamp"]
-    root = f"{shared_folder(spark)}/reckon-{uuid.uuid4().hex}"
+    root = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     stream = landing.table_stream(spark, f"{sf}/bronze_events.parquet", _bronze(spark, sf).schema).select(*cols)
     feeds.log_batches(stream, f"{root}/log", f"{root}/offsets").awaitTermination()
     return feeds.collapsed_log(spark, f"{root}/log")
@@ -264,11 +302,11 @@ def streaming_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        trial_balance, ledger_postings, money_flow, daily_close, day_grid, close_log_latest_two, restatements, reconciliation, reconciliation_items, unposted_net,
+        trial_balance, ledger_postings, money_flow, daily_close, day_grid, close_log_latest_two, restatements, restatement_causes, reconciliation, reconciliation_after_loss, reconciliation_items, unposted_net,
         typed_deliveries, dedup_collapse, dedup_upsert_two_batches, partition_keys, quarantined, charges, refunds, disputes, expanded_movements, coverage_gaps,
         cross_check_agreement, disputes_after_their_charge, event_type_counts, distinct_events, category_totals, date_checksum, latest_reported,
         movement_list_refresh, reported_upsert, half_up_settlement, entries_balance_check, every_movement_posted_check, available_explained_check,
         unexplained_difference_check, same_days_check, close_uniqueness_check, one_source_check, flow_conservation_check, restatement_explained_check,
-        list_complete_check, stream_complete_check, posting_column_checks, list_column_checks, measurement_report, streaming_dedup,
+        list_complete_check, stream_complete_check, column_checks, measurement_report, streaming_dedup,
     )
 }

@@ -1,6 +1,8 @@
 """DuckDB SQL for the queries of ``books``, written from the definitions, not from the operators."""
 
-from reckon.schemas import ACCOUNTS, CATEGORIES
+import re
+
+from reckon.plans.build import COLUMNS
 
 
 def _in(values: list[str]) -> str:
@@ -85,28 +87,30 @@ j AS (
   SELECT *, unexplained_difference - coalesce(lag(unexplained_difference) OVER (PARTITION BY currency ORDER BY close_date), 0) AS unexplained_movement FROM m
 )"""
 
+#: pairs: the last two runs, or every run and the one before; a movement is late for the pair it was loaded in.
 _RESTATED = """
-runs AS (SELECT closed_at, row_number() OVER (ORDER BY closed_at DESC) AS r FROM (SELECT DISTINCT closed_at FROM daily_close_log)),
+runs AS (SELECT closed_at AS restated_at, lag(closed_at) OVER (ORDER BY closed_at) AS closed_then FROM (SELECT DISTINCT closed_at FROM daily_close_log)),
+pairs AS (SELECT * FROM runs WHERE closed_then IS NOT NULL{only}),
 moved AS (
-  SELECT n.close_date, n.currency, t.closed_at AS closed_then, n.closed_at AS restated_at, t.balance_pending AS pending_then, n.balance_pending AS pending_now,
+  SELECT DISTINCT n.close_date, n.currency, p.closed_then, p.restated_at, t.balance_pending AS pending_then, n.balance_pending AS pending_now,
     n.balance_pending - t.balance_pending AS pending_movement, t.balance_available AS available_then, n.balance_available AS available_now,
     n.balance_available - t.balance_available AS available_movement
-  FROM daily_close_log n JOIN daily_close_log t ON t.close_date = n.close_date AND t.currency = n.currency
-  WHERE n.closed_at = (SELECT closed_at FROM runs WHERE r = 1) AND t.closed_at = (SELECT closed_at FROM runs WHERE r = 2)
-    AND (n.balance_pending <> t.balance_pending OR n.balance_available <> t.balance_available)
+  FROM pairs p JOIN daily_close_log n ON n.closed_at = p.restated_at JOIN daily_close_log t ON t.closed_at = p.closed_then AND t.close_date = n.close_date AND t.currency = n.currency
+  WHERE n.balance_pending <> t.balance_pending OR n.balance_available <> t.balance_available
+), late AS (
+  SELECT l.*, CAST(l.created AS DATE) AS s, CAST(l.available_on AS DATE) AS m, p.closed_then FROM balance_transaction_list l JOIN pairs p ON l.loaded_at > p.closed_then AND l.loaded_at <= {until}
 ), why AS (
-  SELECT d.close_date, d.currency,
-    coalesce(sum(CASE WHEN CAST(l.created AS DATE) <= d.close_date AND CAST(l.available_on AS DATE) > d.close_date THEN l.net END), 0) AS p,
-    coalesce(sum(CASE WHEN CAST(l.available_on AS DATE) <= d.close_date THEN l.net END), 0) AS a,
-    count(*) FILTER (CAST(l.created AS DATE) = d.close_date OR CAST(l.available_on AS DATE) = d.close_date) AS n,
-    coalesce(string_agg(l.balance_transaction_id, ',' ORDER BY l.balance_transaction_id)
-      FILTER (CAST(l.created AS DATE) = d.close_date OR CAST(l.available_on AS DATE) = d.close_date), '') AS ids
-  FROM (SELECT DISTINCT close_date, currency, closed_then FROM moved) d LEFT JOIN balance_transaction_list l ON l.currency = d.currency AND l.loaded_at > d.closed_then GROUP BY ALL
+  SELECT d.close_date, d.currency, d.closed_then,
+    coalesce(sum(CASE WHEN s <= d.close_date AND m > d.close_date THEN net END), 0) AS p, coalesce(sum(CASE WHEN m <= d.close_date THEN net END), 0) AS a,
+    count(*) FILTER (s = d.close_date OR m = d.close_date) AS n
+  FROM (SELECT DISTINCT close_date, currency, closed_then FROM moved) d LEFT JOIN late ON late.currency = d.currency AND late.closed_then = d.closed_then GROUP BY ALL
 ), restated AS (
-  SELECT moved.*, CAST(n AS BIGINT) AS late_transactions, CAST(p AS BIGINT) AS late_pending_effect, CAST(a AS BIGINT) AS late_available_effect, ids AS caused_by,
+  SELECT moved.*, CAST(n AS BIGINT) AS late_transactions, CAST(p AS BIGINT) AS late_pending_effect, CAST(a AS BIGINT) AS late_available_effect,
     p = pending_movement AND a = available_movement AS fully_explained_by_what_arrived_late
-  FROM moved JOIN why ON why.close_date = moved.close_date AND why.currency = moved.currency
+  FROM moved JOIN why USING (close_date, currency, closed_then)
 )"""
+_LAST_TWO = _RESTATED.format(only=" AND restated_at = (SELECT max(closed_at) FROM daily_close_log)", until="TIMESTAMP '9999-01-01'")
+_EVERY_RUN = _RESTATED.format(only="", until="p.restated_at")
 
 _EXPANDED = """
 last_disputes AS (
@@ -141,21 +145,56 @@ SELECT event_id, event_type, created{more}, CAST(deliveries AS INTEGER) AS deliv
   FROM bronze_events WHERE event_id IS NOT NULL{where} WINDOW w AS (PARTITION BY event_id)) WHERE rn = 1"""
 
 
-def _violations(table: str, checks: list[tuple[str, str, str]]) -> str:
-    return " UNION ALL ".join(f"SELECT * FROM (SELECT '{k}' AS \"check\", '{c}' AS column_name, CAST(({q}) AS BIGINT) AS violations) WHERE violations > 0" for k, c, q in checks)
+def _damaged(sql: str, **tables: str) -> str:
+    """A query over the tables as they are and over damaged ones, given as SQL by name."""
+    other = sql
+    for name in tables:
+        other = re.sub(rf"\b{name}\b", f"damaged_{name}", other)
+    made = ", ".join(f"damaged_{name} AS ({how})" for name, how in tables.items())
+    return f"WITH {made} SELECT 'as they are' AS tables, * FROM ({sql}) UNION ALL SELECT 'damaged' AS tables, * FROM ({other})"
+
+
+def _lost(table: str, column: str) -> str:
+    return f"SELECT * FROM {table} WHERE {column} IS NULL OR NOT starts_with(md5({column}), '0')"
+
+
+_LOST_POSTINGS = _lost("ledger_postings", "balance_transaction_id")
+
+
+def _violations(dataset: str, table: str) -> str:
+    """Every column check of a dataset, whose rows are a table or a query."""
+    not_null, unique, accepted = COLUMNS[dataset]
+    counts = [("not_null", c, f"SELECT count(*) FROM t WHERE {c} IS NULL") for c in not_null]
+    counts += [("unique", c, f"SELECT count(*) FROM (SELECT {c} FROM t WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)") for c in unique]
+    counts += [("accepted_values", c, f"SELECT count(*) FROM t WHERE {c} NOT IN ({_in(v)})") for c, v in accepted.items()]
+    rows = " UNION ALL ".join(f"SELECT '{dataset}' AS dataset, '{k}' AS \"check\", '{c}' AS column_name, CAST(({q}) AS BIGINT) AS violations" for k, c, q in counts)
+    return f"SELECT * FROM (WITH t AS (SELECT * FROM {table}) {rows}) WHERE violations > 0"
+
+
+def _field(name: str, kind: str) -> str:
+    return f"CASE WHEN json_type(o, '$.{name}') IN ({kind}) THEN json_extract_string(o, '$.{name}') END"
 
 
-def _not_null(table: str, *cols: str) -> list[tuple[str, str, str]]:
-    return [("not_null", c, f"SELECT count(*) FROM {table} WHERE {c} IS NULL") for c in cols]
+_TEXT, _WHOLE = "'VARCHAR'", "'UBIGINT', 'BIGINT'"
 
 
-def _unique(table: str, c: str) -> tuple[str, str, str]:
-    return ("unique", c, f"SELECT count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+def _referred(name: str) -> str:
+    return f"CASE json_type(o, '$.{name}') WHEN 'OBJECT' THEN json_extract_string(o, '$.{name}.id') WHEN 'VARCHAR' THEN json_extract_string(o, '$.{name}') END"
 
 
-def _accepted(table: str, c: str, values: list[str]) -> tuple[str, str, str]:
-    return ("accepted_values", c, f"SELECT count(*) FROM {table} WHERE {c} NOT IN ({_in(values)})")
+_TYPED = f"""WITH p AS (SELECT *, CASE WHEN json_valid(payload) THEN json_extract(payload, '$.data.object') END AS o FROM bronze_events)
+SELECT event_id, event_type, created, make_timestamp(CAST({_field("created", _WHOLE)} AS BIGINT) * 1000000) AS entity_created,
+  coalesce({_field("object", _TEXT)}, split_part(event_type, '.', 1)) AS entity_type, {_field("id", _TEXT)} AS entity_id,
+  coalesce({_referred("charge")}, CASE WHEN o->>'$.object' = 'charge' THEN o->>'$.id' END) AS charge_id, {_referred("payment_intent")} AS payment_intent_id,
+  CAST({_field("amount", _WHOLE)} AS BIGINT) AS amount, {_field("currency", _TEXT)} AS currency, {_field("status", _TEXT)} AS status,
+  {_referred("balance_transaction")} AS balance_transaction_id, CAST({_field("amount_refunded", _WHOLE)} AS BIGINT) AS amount_refunded,
+  CAST({_field("refunded", "'BOOLEAN'")} AS BOOLEAN) AS refunded, {_field("reason", _TEXT)} AS reason, livemode, api_version, request_id, idempotency_key,
+  kafka_partition, kafka_offset, kafka_timestamp FROM p"""
 
+#: Embedded movements come from the stream as it is; what the list and the typed events lose is damage.
+_ALL_GAPS = _damaged(
+    f"WITH {_GAPS} SELECT * FROM gaps", balance_transaction_list=_lost("balance_transaction_list", "balance_transaction_id"), silver_events=_lost("silver_events", "entity_id")
+).replace("FROM damaged_silver_events\n    WHERE entity_type = 'dispute'", "FROM silver_events\n    WHERE entity_type = 'dispute'")
 
 SQL = {
     "trial_balance": _TRIAL,
@@ -164,7 +203,10 @@ SQL = {
     "daily_close": _DAILY,
     "day_grid": _GRID,
     "close_log_latest_two": "SELECT closed_at, CAST(row_number() OVER (ORDER BY closed_at DESC) AS INTEGER) AS recency FROM (SELECT DISTINCT closed_at FROM daily_close_log) QUALIFY recency <= 2",
-    "restatements": f"WITH {_RESTATED} SELECT * FROM restated",
+    "restatements": f"WITH {_EVERY_RUN} SELECT * FROM restated",
+    "restatement_causes": f"""WITH {_EVERY_RUN} SELECT r.close_date, r.currency, r.restated_at, l.balance_transaction_id, l.net, CASE WHEN l.s = r.close_date THEN 'created' ELSE 'matured' END AS touched_the_day_by
+FROM restated r JOIN late l ON l.currency = r.currency AND l.closed_then = r.closed_then AND (l.s = r.close_date OR l.m = r.close_date)""",
+    "typed_deliveries": _TYPED,
     "reconciliation": f"WITH {_WEIGHED} SELECT * FROM weighed",
     "reconciliation_items": f"""WITH {_WEIGHED}
 SELECT w.close_date, w.currency, w.unexplained_difference, w.unexplained_movement, t.balance_transaction_id, t.source_id, t.reporting_category, t.net,
@@ -173,7 +215,8 @@ SELECT w.close_date, w.currency, w.unexplained_difference, w.unexplained_movemen
 FROM weighed w JOIN balance_transaction_list t ON t.currency = w.currency AND (CAST(t.created AS DATE) = w.close_date OR CAST(t.available_on AS DATE) = w.close_date)
 LEFT JOIN (SELECT balance_transaction_id, count(*) AS n, count(DISTINCT entry_id) AS e FROM ledger_postings GROUP BY ALL) p ON p.balance_transaction_id = t.balance_transaction_id
 WHERE w.unexplained_movement <> 0""",
-    "unposted_net": _UNPOSTED,
+    "reconciliation_after_loss": f"WITH damaged AS ({_LOST_POSTINGS}), {_WEIGHED.replace('ledger_postings', 'damaged')} SELECT * FROM weighed",
+    "unposted_net": _damaged(_UNPOSTED, ledger_postings=_LOST_POSTINGS),
     "dedup_collapse": _COLLAPSED.format(more=", livemode", where="").replace("event_type, created)", "event_type, created, livemode)"),
     "dedup_upsert_two_batches": f"""WITH a AS ({_COLLAPSED.format(more="", where=" AND day(ingested_at) <= 15")}), b AS ({_COLLAPSED.format(more="", where=" AND day(ingested_at) > 15")})
 SELECT coalesce(a.event_id, b.event_id) AS event_id, coalesce(a.event_type, b.event_type) AS event_type, coalesce(a.created, b.created) AS created,
@@ -187,7 +230,7 @@ SELECT coalesce(list_filter(c, lambda x: json_type(x) = 'VARCHAR' AND json_extra
     "refunds": _latest("refund", "refund_id", "amount, currency, status, balance_transaction_id, reason"),
     "disputes": _latest("dispute", "dispute_id", "amount, currency, status, reason"),
     "expanded_movements": f"WITH {_EXPANDED} SELECT * FROM expanded",
-    "coverage_gaps": f"WITH {_GAPS} SELECT * FROM gaps",
+    "coverage_gaps": _ALL_GAPS,
     "cross_check_agreement": f"""WITH {_EXPANDED}, one AS (SELECT balance_transaction_id, max((amount, fee, net)) AS m FROM balance_transaction_list GROUP BY ALL)
 SELECT count(*) AS embedded, count(one.m) AS listed, count(*) FILTER (one.m = (e.amount, e.fee, e.net)) AS agreeing FROM expanded e LEFT JOIN one USING (balance_transaction_id)""",
     "disputes_after_their_charge": f"""WITH c AS ({_CHARGES}), d AS ({_latest("dispute", "dispute_id", "amount")})
@@ -203,44 +246,40 @@ SELECT d.dispute_id, d.charge_id, d.created AS disputed_at, c.created AS charged
     "half_up_settlement": """SELECT balance_transaction_id, CAST(CASE WHEN net < 0 THEN -((2 * abs(net) * 86 + 100) // 200) ELSE (2 * net * 86 + 100) // 200 END AS BIGINT) AS settled,
   CAST(CAST(created AS DATE) + INTERVAL 7 DAYS AS DATE) AS due_on FROM balance_transaction_list""",
     "entries_balance_check": "SELECT entry_id, currency, CAST(sum(amount) AS BIGINT) AS off_by, count(*) AS postings FROM ledger_postings GROUP BY ALL HAVING sum(amount) <> 0",
-    "every_movement_posted_check": "SELECT balance_transaction_id, reporting_category, net FROM balance_transaction_list l WHERE NOT EXISTS (SELECT 1 FROM ledger_postings p WHERE p.balance_transaction_id = l.balance_transaction_id)",
-    "available_explained_check": "SELECT close_date, currency, balance_available, disputes_to_date, refunds_to_date FROM daily_close WHERE balance_available < 0 AND disputes_to_date = 0 AND refunds_to_date = 0",
+    "every_movement_posted_check": _damaged("SELECT balance_transaction_id, reporting_category, net FROM balance_transaction_list l WHERE NOT EXISTS (SELECT 1 FROM ledger_postings p WHERE p.balance_transaction_id = l.balance_transaction_id)", ledger_postings=_LOST_POSTINGS),
+    "available_explained_check": _damaged("SELECT close_date, currency, balance_available, disputes_to_date, refunds_to_date FROM daily_close WHERE balance_available < 0 AND disputes_to_date = 0 AND refunds_to_date = 0", daily_close="SELECT * REPLACE (-abs(balance_available) - 1 AS balance_available) FROM daily_close"),
     "unexplained_difference_check": f"WITH {_WEIGHED} SELECT close_date, currency, ledger_total, reported_total, unposted_net, unexplained_difference FROM weighed WHERE unexplained_difference <> 0",
     "same_days_check": f"WITH {_WEIGHED} SELECT close_date, currency, ledger_closed_the_day, processor_reported_the_day FROM weighed WHERE NOT (ledger_closed_the_day AND processor_reported_the_day)",
-    "close_uniqueness_check": "SELECT close_date, currency, count(*) AS occurrences FROM daily_close_log GROUP BY ALL HAVING count(*) > 1",
+    "close_uniqueness_check": _damaged("SELECT close_date, currency, count(*) AS occurrences FROM daily_close GROUP BY ALL HAVING count(*) > 1", daily_close="SELECT * FROM daily_close UNION ALL SELECT * FROM daily_close WHERE day(close_date) % 2 = 0"),
     "one_source_check": "SELECT entry_id, currency, count(*) AS source_legs FROM ledger_postings WHERE amount < 0 GROUP BY ALL HAVING count(*) > 1",
     "flow_conservation_check": f"""WITH f AS ({_FLOW}), n AS (SELECT account, currency, sum(x) AS net_flow FROM (SELECT target AS account, currency, amount AS x FROM f UNION ALL SELECT source, currency, -amount FROM f) GROUP BY ALL)
 SELECT coalesce(n.account, b.account) AS account, coalesce(n.currency, b.currency) AS currency, CAST(coalesce(net_flow, 0) AS BIGINT) AS net_flow, coalesce(balance, 0) AS balance
 FROM n FULL JOIN ({_TRIAL}) b ON b.account = n.account AND b.currency = n.currency WHERE coalesce(net_flow, 0) <> coalesce(balance, 0)""",
-    "restatement_explained_check": f"WITH {_RESTATED} SELECT close_date, currency, pending_movement, late_pending_effect, available_movement, late_available_effect FROM restated WHERE NOT fully_explained_by_what_arrived_late",
-    "list_complete_check": f"WITH {_GAPS} SELECT * EXCLUDE (finding) FROM gaps WHERE finding = 'transaction_missing_from_the_list'",
-    "stream_complete_check": f"WITH {_GAPS} SELECT * EXCLUDE (finding) FROM gaps WHERE finding = 'source_missing_from_the_stream'",
-    "posting_column_checks": _violations(
-        "ledger_postings",
-        _not_null("ledger_postings", "posting_id", "entry_id", "account", "amount", "currency", "posted_on")
-        + [_accepted("ledger_postings", "account", ACCOUNTS), _accepted("ledger_postings", "entry_type", ["recognition", "availability"]), _unique("ledger_postings", "posting_id")],
-    ),
-    "list_column_checks": _violations(
-        "balance_transaction_list",
-        _not_null("balance_transaction_list", "balance_transaction_id", "reporting_category", "net", "currency")
-        + [_accepted("balance_transaction_list", "reporting_category", CATEGORIES), _unique("balance_transaction_list", "balance_transaction_id")],
-    ),
+    "restatement_explained_check": f"WITH {_EVERY_RUN} SELECT close_date, currency, pending_movement, late_pending_effect, available_movement, late_available_effect FROM restated WHERE NOT fully_explained_by_what_arrived_late",
+    "list_complete_check": f"SELECT * EXCLUDE (finding) FROM ({_ALL_GAPS}) WHERE finding = 'transaction_missing_from_the_list'",
+    "stream_complete_check": f"SELECT * EXCLUDE (finding) FROM ({_ALL_GAPS}) WHERE finding = 'source_missing_from_the_stream'",
 }
 
 #: Measure, table or query it reads, aggregate.
 _MEASURES = [
     ("bronze_deliveries", "bronze_events", "count(*)"), ("bronze_events", "bronze_events", "count(DISTINCT event_id)"), ("silver_events", "silver_events", "count(*)"),
     ("silver_deliveries", "silver_events", "sum(deliveries)"), ("silver_charges", "charges", "count(*)"), ("silver_refunds", "refunds", "count(*)"), ("silver_disputes", "disputes", "count(*)"),
-    ("silver_expanded_transactions", "expanded_movements", "count(*)"), ("list_transactions", "balance_transaction_list", "count(*)"), ("reported_days", "reported_balance", "count(DISTINCT as_of_date)"),
+    ("silver_expanded_transactions", "expanded_movements", "count(*)"), ("list_transactions", "balance_transaction_list", "count(*)"), ("reported_days", "reported_balance", "count(*)"),
     ("charges_created_checksum", "charges", "sum(epoch_us(created) // 1000000)"), ("gold_postings", "ledger_postings", "count(*)"), ("gold_entries", "ledger_postings", "count(DISTINCT entry_id)"),
     ("gold_trial_balance", "ledger_postings", "sum(amount)"), ("gold_available", "ledger_postings", "sum(amount) FILTER (account = 'asset:balance_available')"),
     ("gold_close_rows", "daily_close", "count(*)"), ("gold_reconciliation_breaks", "reconciliation", "count(*) FILTER (unexplained_difference <> 0)"),
-    ("gold_reconciliation_items", "reconciliation_items", "count(*)"), ("gold_coverage_gaps", "coverage_gaps", "count(*)"), ("gold_restatements", "restatements", "count(*)"),
+    ("gold_reconciliation_items", "reconciliation_items", "count(*)"), ("gold_coverage_gaps", "gaps", "count(*)"), ("gold_restatements", "last_restated", "count(*)"),
     ("gold_closes", "daily_close_log", "count(DISTINCT closed_at)"),
 ]
-#: Tables whose name a query has as well: the measurements read the tables.
-_TABLES = {"ledger_postings", "daily_close"}
-SQL["measurement_report"] = " UNION ALL ".join(
-    f"SELECT '{m}' AS measure, CAST(coalesce((SELECT {a} FROM {f'({SQL[t]})' if t in SQL and t not in _TABLES else t}), 0) AS BIGINT) AS value" for m, t, a in _MEASURES
-)
+_MADE = {k: SQL[k] for k in ("charges", "refunds", "disputes", "expanded_movements", "reconciliation", "reconciliation_items")}
+_MADE |= {"gaps": f"WITH {_GAPS} SELECT * FROM gaps", "last_restated": f"WITH {_LAST_TWO} SELECT * FROM restated"}
+SQL["measurement_report"] = " UNION ALL ".join(f"SELECT '{m}' AS measure, CAST(coalesce((SELECT {a} FROM {f'({_MADE[t]})' if t in _MADE else t}), 0) AS BIGINT) AS value" for m, t, a in _MEASURES)
 SQL["streaming_dedup"] = SQL["dedup_collapse"]
+SQL["column_checks"] = " UNION ALL ".join(
+    _violations(name, table)
+    for name, table in {
+        "list": "balance_transaction_list", "reported": "reported_balance", "expanded": f"({_MADE['expanded_movements']})", "postings": "ledger_postings", "balances": f"({_TRIAL})",
+        "daily_close": "daily_close", "reconciliation": f"({_MADE['reconciliation']})", "money_flow": f"({_FLOW})", "close_log": "daily_close_log", "restatements": f"({SQL['restatements']})",
+        "coverage_gaps": f"({_MADE['gaps']})", "reconciliation_items": f"({_MADE['reconciliation_items']})",
+    }.items()
+)

@@ -72,4 +72,3 @@ ACCOUNTS = [PENDING, AVAILABLE, BANK, SALES, REFUNDS, FEES, DISPUTES]
 COUNTERPARTS = {"refund": REFUNDS, "dispute": DISPUTES, "dispute_reversal": DISPUTES, "payout": BANK}
 #: Categories that the event stream announces.
 ANNOUNCED = ["charge", "refund", "dispute", "dispute_reversal"]
-CATEGORIES = [*ANNOUNCED, "payout"]

@@ -82,14 +82,32 @@ def test_restatements(spark):
     m = listed(spark, *early, late)
     second = close.log_rows(close.daily_close(ledger.postings(m)), "r2", D(6))
     log = first.unionByName(second)
-    got = {r.close_date.day: r for r in close.restatements(log, m).collect()}
+    got = {r.close_date.day: r for r in close.restatements(log, m, with_causes=True).collect()}
     assert set(got) == {2, 3} and got[2].pending_movement == 40 and got[3].available_movement == 40
     assert all(r.fully_explained_by_what_arrived_late and r.caused_by == ["b"] and r.late_transactions == 1 for r in got.values())
     assert close.restatements(first, m).count() == 0
-    unexplained = close.restatements(log, listed(spark, *early))
+    links = close.restatement_causes(close.restatements(log, m), log, m).collect()
+    assert sorted((r.close_date.day, r.balance_transaction_id, r.touched_the_day_by) for r in links) == [(2, "b", "created"), (3, "b", "matured")]
+    unexplained = close.restatements(log, listed(spark, *early), with_causes=True)
     assert checks.restatement_explained(unexplained).count() == 2 and [r.caused_by for r in unexplained.collect()] == [[], []]
 
 
+def test_every_run_restates_by_what_it_loaded(spark):
+    days = [movement(f"m{i}", "charge", 10 * (i + 1), 0, created=D(1 + i % 3), available=D(2 + i % 4), loaded=D(1 + i)) for i in range(6)]
+    days += [movement("n", "charge", 7, 0, created=D(4), available=D(2), loaded=D(3))]
+    log = None
+    for run, at in enumerate((D(2, 12), D(4, 12), D(4, 13), D(9))):
+        known = [m for m in days if m[14] <= at]
+        rows = close.log_rows(close.daily_close(ledger.postings(listed(spark, *known))), f"r{run}", at)
+        log = rows if log is None else log.unionByName(rows)
+    got = close.restatements(log, listed(spark, *days), all_runs=True).collect()
+    assert {r.restated_at for r in got} == {D(4, 12), D(9)} and all(r.late_transactions >= 0 for r in got)
+    # A movement that is available before it is created never was pending by attribution, but is by the ledger.
+    assert all(r.fully_explained_by_what_arrived_late for r in got if r.restated_at == D(9))
+    last = {(r.close_date, r.late_pending_effect, r.late_available_effect) for r in got if r.restated_at == D(9)}
+    assert last == {(r.close_date, r.late_pending_effect, r.late_available_effect) for r in close.restatements(log, listed(spark, *days)).collect()} | last
+
+
 def test_refresh_list_keeps_loading_time_and_takes_nulls(spark):
     old, new = movement("a", "charge", 5, 0, loaded=D(1)), list(movement("a", "refund", 6, 0, loaded=D(9)))
     new[10] = None
@@ -147,6 +165,14 @@ def test_privacy(spark):
     df = spark.createDataFrame([('{"a":{"livemode": true},"email":"x\\"y","name":null}',), ('{"livemode":false}',), (None,)], "p string")
     assert [r[0] for r in df.select(privacy.is_live("p")).collect()] == [True, False, False]
     assert df.select(privacy.blanked("p", ["email", "name"])).first()[0] == '{"a":{"livemode": true},"email":"","name":null}'
+    body = '{"account":"acct_1Ab","email":"x@y.z","receipt_url":"https://pay.example.com/receipts/a/b?t=1","amount":5}'
+    one = spark.createDataFrame([(body,), (None,)], "p string")
+    want = f'{{"account":"{privacy.ACCOUNT}","email":"","receipt_url":"{privacy.RECEIPT}","amount":5}}'
+    assert [r[0] for r in one.select(privacy.redacted("p", ["email"])).collect()] == [want, None]
+    for guard in (privacy.redacted("p", ["email"]), privacy.test_mode("p")):
+        with pytest.raises(Exception, match="live mode"):
+            df.select(guard).collect()
+    assert privacy.masked("key sk_test_123abc and whsec_x-1 stay") == "key sk_*** and whsec_*** stay"
     import hashlib
     import hmac
 
