@@ -252,7 +252,10 @@ def flow_conservation_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def restatement_explained_check(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.restatement_explained(restatements(spark, sf))
+    """Restated days without a cause, also where no movement says when it was loaded."""
+    log, listed = T(spark, sf, "daily_close_log"), _list(spark, sf)
+    undated = listed.withColumn("loaded_at", F.lit(None).cast(listed.schema["loaded_at"].dataType))
+    return _both(*[checks.restatement_explained(close.restatements(log, m, all_runs=True)) for m in (listed, undated)])
 
 
 def list_complete_check(spark: SparkSession, sf: str) -> DataFrame:

@@ -255,7 +255,7 @@ SELECT d.dispute_id, d.charge_id, d.created AS disputed_at, c.created AS charged
     "flow_conservation_check": f"""WITH f AS ({_FLOW}), n AS (SELECT account, currency, sum(x) AS net_flow FROM (SELECT target AS account, currency, amount AS x FROM f UNION ALL SELECT source, currency, -amount FROM f) GROUP BY ALL)
 SELECT coalesce(n.account, b.account) AS account, coalesce(n.currency, b.currency) AS currency, CAST(coalesce(net_flow, 0) AS BIGINT) AS net_flow, coalesce(balance, 0) AS balance
 FROM n FULL JOIN ({_TRIAL}) b ON b.account = n.account AND b.currency = n.currency WHERE coalesce(net_flow, 0) <> coalesce(balance, 0)""",
-    "restatement_explained_check": f"WITH {_EVERY_RUN} SELECT close_date, currency, pending_movement, late_pending_effect, available_movement, late_available_effect FROM restated WHERE NOT fully_explained_by_what_arrived_late",
+    "restatement_explained_check": _damaged(f"WITH {_EVERY_RUN} SELECT close_date, currency, pending_movement, late_pending_effect, available_movement, late_available_effect FROM restated WHERE NOT fully_explained_by_what_arrived_late", balance_transaction_list="SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS loaded_at) FROM balance_transaction_list"),
     "list_complete_check": f"SELECT * EXCLUDE (finding) FROM ({_ALL_GAPS}) WHERE finding = 'transaction_missing_from_the_list'",
     "stream_complete_check": f"SELECT * EXCLUDE (finding) FROM ({_ALL_GAPS}) WHERE finding = 'source_missing_from_the_stream'",
 }

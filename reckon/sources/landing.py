@@ -34,7 +34,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith((".jsonl", ".txt")):
         raw = spark.read.text(path).select(F.trim("value").alias("payload"))
     else:
-        raw = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select("value", F.input_file_name().alias("f")).orderBy("f").select(F.trim("value").alias("payload"))
+        raw = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select("value", F.input_file_name().alias("f")).orderBy("f").select(F.btrim("value", F.lit(" \t\r\n")).alias("payload"))
     return raw.where("payload <> ''")
 
 
