@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reckon.operators import changes, compare, dedup, lateness, nested
-from reckon.operators.scale import materialize, scratch_folder
+from reckon.operators.scale import MOST_BYTES, materialize, scratch_folder
 from reckon.sources import landing
 from reckon.sources.tables import table
 from reckon.streaming import feeds
@@ -165,17 +165,26 @@ def p4_values(spark: SparkSession, sf: str) -> DataFrame:
 DELIVERY_ORDER = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
 
 
-def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    """The delivery to keep of every event that was delivered more than once."""
+def _repeated(spark: SparkSession, sf: str, most_bytes: int) -> DataFrame:
     messages = table(spark, sf, "bronze_events").select("event_id", *DELIVERY_ORDER)
-    kept = dedup.one_of_each(messages, id="event_id", order=DELIVERY_ORDER, copies="copies")
+    kept = dedup.one_of_each(messages, id="event_id", order=DELIVERY_ORDER, copies="copies", most_bytes=most_bytes)
     return kept.where("copies > 1").select("event_id", F.col("kafka_partition").cast("long").alias("kafka_partition"), "kafka_offset")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The delivery to keep of every event that was delivered more than once."""
+    return _repeated(spark, sf, MOST_BYTES)
+
+
+def p5_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same without any broadcast of repeated ids, as it runs where these are too large for one."""
+    return _repeated(spark, sf, 0)
+
+
 def p5_messages(spark: SparkSession, sf: str) -> DataFrame:
     """All messages with one delivery of each, without the payload; those without an id all stay."""
     messages = table(spark, sf, "bronze_events").select("event_id", "event_type", *DELIVERY_ORDER, "ingested_at")
     return dedup.one_of_each(messages, id="event_id", order=DELIVERY_ORDER, copies="copies")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_state, p1_watermark, p2_found, p2_days, p2_stream, p3_found, p3_movements, p3_fee_lines, p3_events, p4_found, p4_values, p5_found, p5_messages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_state, p1_watermark, p2_found, p2_days, p2_stream, p3_found, p3_movements, p3_fee_lines, p3_events, p4_found, p4_values, p5_found, p5_shuffled, p5_messages)}

@@ -163,3 +163,4 @@ SELECT event_id, event_type, kafka_timestamp, kafka_partition, kafka_offset, ing
 FROM kept WHERE rn = 1 OR event_id IS NULL""",
 }
 SQL["p2_stream"] = SQL["p2_days"]
+SQL["p5_shuffled"] = SQL["p5_found"]
