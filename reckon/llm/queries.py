@@ -27,9 +27,11 @@ def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill(p6_pack(spark, sf), table(spark, sf, "pack_sizes"), kind="container_kind", capacity="capacity_tokens")
 
 
-def _mixed(spark: SparkSession, sf: str):
+def _mixed(spark: SparkSession, sf: str, whole: bool = False):
+    """The mix at the largest total that keeps all shares, or at as many tokens as there are."""
     sizes = _sizes(spark, sf, "doc_id", "source")
-    return mixing.mix(sizes, table(spark, sf, "mix_targets"), id="doc_id", source="source", size="n_tokens")
+    total = (sizes.agg(F.sum("n_tokens").alias("n")).first()["n"] or 0) if whole else None
+    return mixing.mix(sizes, table(spark, sf, "mix_targets"), id="doc_id", source="source", size="n_tokens", total=total)
 
 
 def p7_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,6 +45,12 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.actual_shares(chosen, shares, source="source")
 
 
+def p7_shares_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The shares of a mix of as many tokens as there are: sources at their most repeats fall short, and the others fill up."""
+    chosen, shares = _mixed(spark, sf, whole=True)
+    return mixing.actual_shares(chosen, shares, source="source")
+
+
 def _truncation(spark: SparkSession, sf: str) -> Truncation:
     return Truncation(table(spark, sf, "documents"), id="doc_id", source="source", text="text")
 
@@ -63,7 +71,7 @@ def p8_limits(spark: SparkSession, sf: str) -> DataFrame:
     return t.cells.select("scope", "unit", "limit", "length", "texts", F.round("natural", 3).alias("natural"), F.round("prior", 4).alias("prior"))
 
 
-QUERIES = {f.__name__: f for f in (p6_pack, p6_fill, p7_mix, p7_shares, p8_found, p8_rates, p8_limits)}
+QUERIES = {f.__name__: f for f in (p6_pack, p6_fill, p7_mix, p7_shares, p7_shares_whole, p8_found, p8_rates, p8_limits)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force and invariants.
 SQL: dict[str, str] = {}
