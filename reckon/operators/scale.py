@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -38,13 +39,14 @@ def _file_system(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-_within: list[str] = []
+#: Scratch folders open in this thread, innermost last; a stream's batches run in threads of their own.
+_open = threading.local()
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """This application's own folder in the shared one; it is removed when the application ends."""
-    if _within:
-        return _within[-1]
+    if getattr(_open, "folders", None):
+        return _open.folders[-1]
     folder = f"{shared_folder(spark)}/reckon-{spark.sparkContext.applicationId}"
     at, fs = _file_system(spark, folder)
     if not fs.exists(at):
@@ -57,11 +59,11 @@ def scratch_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession) -> Iterator[str]:
     """What is materialized inside is removed at the end; results must be read or written before."""
     folder = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
-    _within.append(folder)
+    _open.folders = [*getattr(_open, "folders", []), folder]
     try:
         yield folder
     finally:
-        _within.remove(folder)
+        _open.folders = _open.folders[:-1]
         at, fs = _file_system(spark, folder)
         fs.delete(at, True)
 
