@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -142,3 +143,35 @@ def test_limits_of_other_texts_in_the_other_unit_stay():
     apart = {(int(c), int(b)): 1 for c, b in zip(chars, size) if c == 500}
     assert tr.candidate_limits(h, apart) == [("chars", 500), ("bytes", 1200)]
     assert tr.candidate_limits(h, {(500, 1200): 300}) == [("chars", 500)]
+
+
+def test_every_place_of_every_text_is_counted(spark, writer):
+    odd = ["  two  blanks\tand a tab ", "a\n\nb: (c) ch_3Ab9_7 12.50", "x" * 100 + " end.", "Zahlung für ch_9xY1 älter…", "no", "n", "tail  "]
+    texts = [(s, x) for k, s in enumerate(("mail", "form", None)) for x in [*odd, *(writer(j, 60 + 40 * j) for j in range(k, 20))]]
+    t = run(spark, [(i, *d) for i, d in enumerate(texts + texts[:9])])
+    cuts, kinds = defaultdict(Counter), defaultdict(set)
+    for s, x in texts:
+        for p in range(1, len(x)):
+            c = tr.chain(x[:p])
+            for scope in {s or tr.ALL, tr.ALL}:
+                cuts[scope].update(enumerate(c))
+                for level in range(1, len(c)):
+                    kinds[scope, level, c[level - 1]].add(c[level])
+    first = Counter()
+    for r in t.first.collect():
+        for scope in {r.source or tr.ALL, tr.ALL}:
+            first[scope, r.g1] += r.i
+    assert first == Counter({(s, g): n for s, c in cuts.items() for (level, g), n in c.items() if level == 1})
+    text_of = {(r.h1, r.h2): (texts + texts[:9])[r.id][1] for r in t.rows.collect()}
+    ends = {tr.chain(tr.marked(x)[0]) for _, x in texts}
+    rows = placed = 0
+    for z in (tr.Bucket.unpack(bytes(r.data)).z for r in t.buckets.collect()):
+        for j, (h1, h2) in enumerate(zip(z["h1"].tolist(), z["h2"].tolist())):
+            c, scope = tr.chain(tr.marked(text_of[h1, h2])[0]), str(z["scopes"][z["scope"][j]])
+            for level in range(2, len(c)):
+                assert z[f"i{level}"][z[f"n{level}"][j]] == cuts[scope][level, c[level]]
+                if level > 2:
+                    assert z[f"ti{level}"][z[f"n{level - 1}"][j]] == len(kinds[scope, level, c[level - 1]])
+        rows, placed = rows + len(z["h1"]), placed + z["c_n"].sum()
+    assert rows == sum(1 + (s is not None) for s, _ in texts)
+    assert round(placed) == sum(cuts[tr.ALL][1, g] for g in {c[1] for c in ends})
