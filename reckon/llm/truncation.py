@@ -63,6 +63,7 @@ _TOKEN = re.compile(rf"\w{{1,{PIECE}}}|\n|[^\w\s]")
 #: The same with the blanks behind, which leaves no character out.
 _SPACED = re.compile(rf"(?:\w{{1,{PIECE}}}|\n|[^\w\s]|^)[^\S\n]*")
 _DIGIT = re.compile(r"\d")
+_PATTERN = str.maketrans({**dict.fromkeys("0123456789", "9"), **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "A" for c in range(65, 91)}})
 #: Words of the longest ending that is counted.
 DEPTH = 4
 CHAIN = [f"g{i}" for i in range(DEPTH + 1)]
@@ -74,8 +75,10 @@ VOUCH = 1.0
 ROUNDS = 3
 #: Characters that hold the last ``DEPTH`` words and signs of any ending.
 WINDOW = 6 * PIECE
-#: Words that a task counts at once; rows and texts that a bucket of endings holds on average.
-BATCH, BUCKET_ROWS, BUCKET_TEXTS = 1_000_000, 200_000, 50_000
+#: Words that a task counts at once; different words and counts that it holds until it gives them out.
+BATCH, MOST_WORDS, MOST_COUNTS = 1_000_000, 300_000, 1_000_000
+#: Rows and texts that a bucket of endings holds on average.
+BUCKET_ROWS, BUCKET_TEXTS = 200_000, 50_000
 #: Bins of the ratio of cut endings per unit, for its median.
 FINE = 16
 
@@ -86,6 +89,8 @@ def canonical(word: str) -> str:
     if not first:
         return word
     at = first.start()
+    if word.isascii():
+        return word[:at] + word[at:].translate(_PATTERN)
     return word[:at] + "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in word[at:])
 
 
@@ -251,21 +256,26 @@ def endings(documents: DataFrame, *, id: str, source: str, text: str) -> DataFra
 
 
 class _Words(dict):
-    """Numbers of words with the blanks behind them, and what is known of each."""
+    """Numbers of words as they stand with the blanks behind them, and of the different words that they are."""
 
     def __init__(self):
         self.words: dict[str, int] = {}
-        self.word, self.blanks, self.after, self.hash, self.first = [], [], [], [], []
-        self[""]
+        self.hash, self.first = [], []
+        self.word, self.blanks, self.after = [], [], []
+        self[""], self.number(" ")
+
+    def number(self, word: str) -> int:
+        n = self.words.setdefault(word, len(self.words))
+        if n == len(self.hash):
+            self.hash.append(digest(shape(word)))
+            self.first.append(ord(word[:1] or " "))
+        return n
 
     def __missing__(self, spaced: str) -> int:
         word = spaced.rstrip() if spaced[:1] != "\n" else "\n"
-        c = canonical(word)
-        self.word.append(self.words.setdefault(c, len(self.words)))
+        self.word.append(self.number(canonical(word)))
         self.blanks.append(len(spaced) - len(word))
         self.after.append(spaced[len(word) : len(word) + 1] == " ")
-        self.hash.append(digest(shape(c)))
-        self.first.append(ord(c[:1] or " "))
         self[spaced] = n = len(self)
         return n
 
@@ -278,46 +288,63 @@ def cut_words(texts: DataFrame) -> DataFrame:
     ``after``: how often a blank follows, where the word is whole.
     """
 
-    def counted(v: _Words, ids: list[np.ndarray], names: list[str | None], shares: list[float]) -> pa.RecordBatch:
-        sources = sorted(set(names), key=lambda s: (s is not None, s))
-        number = {s: i for i, s in enumerate(sources)}
+    def counted(v: _Words, ids: list[np.ndarray], sources: list[int], shares: list[float]) -> list[np.ndarray]:
+        """Key, source, word, contexts, place, n and after of each different row."""
         gap = np.zeros(DEPTH - 1, np.int32)
         many = [len(x) + len(gap) for x in ids]
         x = np.concatenate([y for i in ids for y in (gap, i)])
-        source, share = np.repeat([number[s] for s in names], many), np.repeat(shares, many)
-        hashes = np.array(v.hash, np.int64)[x]
-        word, first = np.array(v.word)[x], np.array(v.first)[x]
-        blanks, after = np.array(v.blanks)[x], np.array(v.after)[x]
-
-        def contexts(back: int) -> list[np.ndarray]:
-            out = [np.zeros(len(x), np.int64)]
-            for k in range(back, back + DEPTH - 1):
-                out.append(_mix(out[-1], np.concatenate([np.full(k, hashes[0]), hashes[: len(x) - k]])))
-            return out[1:]
-
-        parts, space = [], v.words.setdefault(" ", len(v.words))
-        for use, words, starts, context, n, whole in ((word != v.words[""], word, first, contexts(1), share, share * after), (blanks > 0, np.full(len(x), space), np.full(len(x), ord(" ")), contexts(0), share * blanks, np.zeros(len(x)))):
-            key = _mix(_mix(context[-1][use], words[use]), source[use])
-            _, one, group = np.unique(key, return_index=True, return_inverse=True)
-            at = np.flatnonzero(use)[one]
-            parts.append((source[at], words[at], *[c[at] for c in context], _where(context[0][at], starts[at]), np.bincount(group, n[use], len(at)), np.bincount(group, whole[use], len(at))))
-        cols = [np.concatenate(c) for c in zip(*parts)]
-        texts_of = lambda i, of: pa.DictionaryArray.from_arrays(pa.array(i.astype(np.int32)), pa.array(of, pa.string())).cast(pa.string())
-        return pa.RecordBatch.from_arrays([texts_of(cols[0], sources), texts_of(cols[1], list(v.words)), *[pa.array(c) for c in cols[2:]]], names=["source", "word", "c2", "c3", "c4", "at", "n", "after"])
+        source, share = np.repeat(np.array(sources, np.int32), many), np.repeat(shares, many)
+        word, blanks, after = (np.array(c, k)[x] for c, k in ((v.word, np.int32), (v.blanks, np.int32), (v.after, bool)))
+        key = source.astype(np.uint64)
+        for k in range(DEPTH):
+            # A linear hash of the words' numbers; overflow is meant.
+            key *= np.uint64(0xD1342543DE82EF95)
+            key[k:] += word[: len(word) - k].astype(np.uint64)
+        _, one, group = np.unique(key, return_index=True, return_inverse=True)
+        n, whole, blank = (np.bincount(group, c, len(one)) for c in (share, share * after, share * blanks))
+        # Words by what stands before them, and blanks by the word as well.
+        back = [word[np.maximum(one - k, 0)] for k in range(DEPTH)]
+        hashes, first = np.array(v.hash, np.int64), np.array(v.first, np.int32)
+        parts = []
+        for use, words, before, counts in ((back[0] != v.number(""), back[0], back[1:], (n, whole)), (blank > 0, np.full(len(one), v.number(" "), np.int32), back[:-1], (blank, np.zeros(len(one))))):
+            context = [np.zeros(use.sum(), np.int64)]
+            for w in before:
+                context.append(_mix(context[-1], hashes[w[use]]))
+            words, from_ = words[use], source[one][use]
+            parts.append((_mix(_mix(context[-1], words), from_), from_, words, *context[1:], _where(context[1], first[words]), *[c[use] for c in counts]))
+        return summed([np.concatenate(c) for c in zip(*parts)])
+
+    def summed(both: list[np.ndarray]) -> list[np.ndarray]:
+        key, one, group = np.unique(both[0], return_index=True, return_inverse=True)
+        return [key, *[c[one] for c in both[1:-2]], *[np.bincount(group, c, len(one)) for c in both[-2:]]]
+
+    def together(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+        return summed([np.concatenate(c) for c in zip(a, b)])
+
+    def given(v: _Words, sources: dict[str | None, int], counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        named = lambda i, of: pa.DictionaryArray.from_arrays(pa.array(i), pa.array(of, pa.string())).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([named(counts[1], list(sources)), named(counts[2], list(v.words)), *[pa.array(c) for c in counts[3:]]], names=["source", "word", "c2", "c3", "c4", "at", "n", "after"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, ids, names, shares, held = _Words(), [], [], [], 0
+        v, sources, counts, ids, names, shares, held = _Words(), {}, None, [], [], [], 0
         for batch in batches:
             for t, s, n in zip(batch.column("t"), batch.column("source").to_pylist(), batch.column("share").to_pylist()):
                 ids.append(np.fromiter(map(v.__getitem__, _SPACED.findall(t.as_py()[:-1])), np.int32))
-                names.append(s)
+                names.append(sources.setdefault(s, len(sources)))
                 shares.append(n)
                 held += len(ids[-1])
                 if held >= BATCH:
-                    yield counted(v, ids, names, shares)
-                    v, ids, names, shares, held = _Words(), [], [], [], 0
+                    now = counted(v, ids, names, shares)
+                    counts = together(counts, now) if counts else now
+                    ids, names, shares, held = [], [], [], 0
+                    if len(v) > MOST_WORDS or len(counts[0]) > MOST_COUNTS:
+                        yield from given(v, sources, counts)
+                        v, sources, counts = _Words(), {}, None
         if ids:
-            yield counted(v, ids, names, shares)
+            now = counted(v, ids, names, shares)
+            counts = together(counts, now) if counts else now
+        if counts:
+            yield from given(v, sources, counts)
 
     return texts.select("source", "t", "share").mapInArrow(run, "source string, word string, c2 long, c3 long, c4 long, at long, n double, after double")
 
@@ -556,6 +583,15 @@ def drawn(own: np.ndarray, every: np.ndarray, trust: np.ndarray) -> np.ndarray:
     return every + np.maximum(0, trust * (own - every))
 
 
+def verdict_keys(d: pd.DataFrame) -> np.ndarray:
+    """One key of scope, cell and mark."""
+    key = d["mark"].to_numpy(np.int64)
+    for c in ("scope", "cell"):
+        codes, names = pd.factorize(d[c])
+        key = _mix(key, np.array([digest(str(x)) for x in names], np.int64)[codes])
+    return key
+
+
 class Table:
     """Endings by key: e (whole texts), i (cuts), te and ti (kinds of either that lie below)."""
 
@@ -610,9 +646,10 @@ class Bucket:
         texts = texts.sort_values(["t", "scope"], ignore_index=True)
         sk, t = texts["sk"].to_numpy(np.int64), texts["t"].to_numpy(np.int64)
         g = [texts[c].to_numpy(np.int64) for c in CHAIN]
-        z = {c: texts[c].to_numpy() for c in ("h1", "h2", "vk", "sk", "mark", "prior", "trust", "noticed", "used", "own")}
+        z = {c: texts[c].to_numpy() for c in ("h1", "h2", "sk", "mark", "prior", "trust", "noticed", "used", "own")}
         for c in ("scope", "cell"):
             z[f"{c}s"], z[c] = np.unique(texts[c].to_numpy(str), return_inverse=True)
+        z["vk"] = verdict_keys(texts)
         of = np.flatnonzero(sk == of_all)
         z["every"] = of[np.searchsorted(t[of], t)] if len(of) else of
         z |= {"kind": _mix(g[0], sk), "word": _mix(g[1], sk)}
@@ -815,19 +852,14 @@ def pooled_marks(pooled: pd.DataFrame) -> tuple[float, np.ndarray, np.ndarray] |
     return (rows["share"].iloc[0], rows["of_cut"].to_numpy(), rows["of_complete"].to_numpy()) if len(rows) else None
 
 
-def fit_all_shares(binned: DataFrame, usual: dict[str, float]) -> DataFrame:
+def fit_all_shares(binned: pd.DataFrame, usual: dict[str, float]) -> pd.DataFrame:
     """What ``fit_shares`` gives for every scope: first the scope of all, then the sources drawn towards it."""
-    schema = "scope string, cell string, mark int, threshold double, share double, of_cut double, of_complete double"
-    # Three rows, one a mark; none for an empty table or one without texts outside the cells.
     of_all = usual.get(ALL, math.inf)
-    every = pooled_marks(binned.where(F.col("scope") == ALL).groupBy("scope").applyInPandas(lambda pdf: fit_shares(pdf, of_all), schema).where("cell = ''").toPandas())
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        scope = pdf["scope"].iloc[0]
-        return fit_shares(pdf, usual.get(scope, of_all), every if scope != ALL else None)
-
-    # A group holds counts by cell, mark and bin of one scope.
-    return binned.groupBy("scope").applyInPandas(fit, schema).drop("of_cut", "of_complete")
+    by_scope = {s: d for s, d in binned.groupby("scope")}
+    pooled = [fit_shares(by_scope.pop(ALL), of_all)] if ALL in by_scope else []
+    every = pooled_marks(pooled[0]) if pooled else None
+    verdicts = [*pooled, *[fit_shares(d, usual.get(s, of_all), every) for s, d in by_scope.items()]]
+    return pd.concat(verdicts) if verdicts else pd.DataFrame({"threshold": [], "scope": [], "cell": [], "mark": []})
 
 
 def _odds(x: Column) -> Column:
@@ -910,7 +942,7 @@ class Truncation:
         texts = placed.join(self.notices, "wording", "left").join(self.sizes.select("name", "rate"), F.coalesce("source", F.lit(ALL)) == F.col("name"))
         texts = texts.select(
             bucket, F.xxhash64("h1", "h2", "source").alias("t"), "h1", "h2", "scope", _sk(F.col("scope")).alias("sk"), "cell", "mark", "prior", "trust", *CHAIN, F.coalesce("noticed", F.lit(0.0)).alias("noticed"),
-            F.xxhash64("scope", "cell", "mark").alias("vk"), self._used(texts).alias("used"), (F.col("scope") == F.coalesce("source", F.lit(ALL))).alias("own"),
+            self._used(texts).alias("used"), (F.col("scope") == F.coalesce("source", F.lit(ALL))).alias("own"),
         )
         cuts = self.words.select(bucket, _sk(F.coalesce("source", F.lit(ALL))).alias("sk"), "word", "c2", "c3", "c4", "n")
 
@@ -972,7 +1004,7 @@ class Truncation:
                 cuts = _binned(z["c_sk"], own, every, z["c_n"], names)
                 return [x.assign(cuts=c).to_dict("list") for c, x in ((False, d), (True, cuts))]
 
-            bins = materialize(over("cuts boolean, scope string, cell string, mark int, bin int, n double, prior double", weighed).groupBy("cuts", "scope", "cell", "mark", "bin").agg(F.sum("n").alias("n"), F.max("prior").alias("prior")))
+            bins = over("cuts boolean, scope string, cell string, mark int, bin int, n double, prior double", weighed).groupBy("cuts", "scope", "cell", "mark", "bin").agg(F.sum("n").alias("n"), F.max("prior").alias("prior")).toArrow().to_pandas()
             # Cuts whose last word no text ends with: known by their counts at the first two levels.
             sk, g0, zero = apart["sk"].to_numpy(np.int64), apart["g0"].to_numpy(np.int64), np.zeros(len(apart))
             alone = []
@@ -980,11 +1012,10 @@ class Truncation:
                 root, by_kind = levels.tables[0].at(s), levels.tables[1].at(_mix(g0, s))
                 alone.append(step(*by_kind[:2], *root, 0.0, 0) + step(zero, i, *by_kind, 0.0, 1))
             rest = _binned(sk, drawn(*alone, trust.at(sk)[0]), alone[1], apart["n"].to_numpy(float), names)
-            seen = pd.concat([bins.where("cuts").select("scope", "bin", "n").toPandas(), rest[["scope", "bin", "n"]]]).groupby(["scope", "bin"], as_index=False)["n"].sum()
+            seen = pd.concat([bins.loc[bins["cuts"], ["scope", "bin", "n"]], rest[["scope", "bin", "n"]]]).groupby(["scope", "bin"], as_index=False)["n"].sum()
             self.usual = medians(seen)
-            self.verdicts = materialize(fit_all_shares(bins.where("NOT cuts").drop("cuts"), self.usual))
-            told = self.verdicts.select(F.xxhash64("scope", "cell", "mark").alias("vk"), "threshold").toPandas()
-            history = [*history, (levels, Table(told["vk"].to_numpy(np.int64), told["threshold"].to_numpy(float)))]
+            self.verdicts = fit_all_shares(bins[~bins["cuts"]], self.usual)
+            history = [*history, (levels, Table(verdict_keys(self.verdicts), self.verdicts["threshold"].to_numpy(float)))]
         self.levels, self.buckets = levels, buckets
         last = session.sparkContext.broadcast(history)
 
